@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One given table; times without a zone are read as UTC instants."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    naive = [f.name for f in df.schema if isinstance(f.dataType, TimestampNTZType)]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
