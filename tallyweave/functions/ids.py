@@ -36,31 +36,44 @@ def _fold_tables() -> tuple[str, str, str, str]:
             one_to.append(plain)
         elif plain:
             many[char] = plain
-    return "".join(one_from), "".join(one_to), json.dumps(many), "[" + "".join(many) + "]"
+    return "".join(one_from), "".join(one_to), json.dumps(many), _char_class(many)
+
+
+def _char_class(chars) -> str:
+    """Character class of code points, with neighbours written as ranges."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if spans and code == spans[-1][1] + 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
 
 
 @lru_cache(maxsize=None)
-def _word_tables() -> tuple[str, str, str]:
+def _word_tables() -> tuple[str, str, str, str, str]:
     """Code points whose decomposition, lowered, keeps any of ``a-z0-9``, by rule.
 
-    Returns (from, to) for plain replacements, where a combining mark left over is written as a
-    separator in the JSON map of longer replacements.
+    Returns the one-to-one translation (from, to), the class of letters that a leftover mark
+    separates from the next one, and the longer replacements as JSON with their class.
     """
-    one_from, one_to, more = [], [], {}
+    one_from, one_to, marked, more = [], [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
         text = unicodedata.normalize("NFKD", char).casefold()
         plain = "".join(c if c.isascii() and c.isalnum() else " " for c in text)
-        if not plain.strip():
-            continue
-        if len(plain) == 1:
+        letter = plain.strip()
+        if len(letter) == 1 and plain[0] == letter:
             one_from.append(char)
-            one_to.append(plain)
-        else:
+            one_to.append(letter)
+            if len(plain) > 1:
+                marked.append(char)
+        elif letter:
             more[char] = plain
-    return "".join(one_from), "".join(one_to), json.dumps(more)
+    return ("".join(one_from), "".join(one_to), _char_class(marked), json.dumps(more),
+            _char_class(more))
 
 
 def _replace_chars(value: Column, table_json: str) -> Column:
@@ -102,9 +115,10 @@ def mode_label(value: Column) -> Column:
 
 def words(value: Column) -> Column:
     """Folded text as lower-case words; a stripped accent separates words."""
-    src, dst, more = _word_tables()
-    folded = F.translate(_replace_chars(value, more), src, dst)
-    text = F.when(value.rlike(_ASCII_ONLY), value).otherwise(folded)
+    src, dst, marked, more, more_class = _word_tables()
+    spread = F.regexp_replace(value, marked, "$0 ")
+    longer = F.when(value.rlike(more_class), _replace_chars(spread, more)).otherwise(spread)
+    text = F.when(value.rlike(_ASCII_ONLY), value).otherwise(F.translate(longer, src, dst))
     return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " "))
 
 

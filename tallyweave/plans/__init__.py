@@ -1,3 +1,3 @@
 """Query plans over the given tables."""
 
-PLAN_MODULES = ["facts", "history"]
+PLAN_MODULES = ["facts", "history", "web"]

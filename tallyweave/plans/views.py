@@ -134,3 +134,76 @@ i AS (
          o_orderkey AS decision_id
   FROM orders)
 """
+
+
+def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CP: each order as a captured page whose links are its line items.
+
+    An order has a handful of lines, so collecting a page's links is bounded.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    li = li.join(supplier, li.l_suppkey == supplier.s_suppkey)
+    part = F.col("l_partkey").cast("string")
+    href = (
+        F.when(F.col("l_returnflag") == "A",
+               F.concat(F.lit("/results/"), part, F.lit(".csv?utm_source=x")))
+        .when(F.col("l_returnflag") == "N", F.concat(F.lit("docs/"), part, F.lit(".pdf")))
+        .otherwise(F.concat(F.lit("https://vendor"), (F.col("l_suppkey") % 3).cast("string"),
+                            F.lit(".example.com/clerk/"), part))
+    )
+    label = F.concat(F.when(F.col("l_linestatus") == "O", "Canvass report ")
+                     .otherwise("Official results "), F.col("l_linenumber").cast("string"))
+    item = F.concat(F.lit("<li>NATION_"), F.col("s_nationkey").cast("string"),
+                    F.lit(' clerk <a href="'), href, F.lit('">'), label, F.lit("</a></li>"))
+    lists = li.groupBy("l_orderkey").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", item.alias("item")))),
+        lambda s: s.item), "").alias("items"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                   "o_orderdate")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    title = F.when(F.col("o_orderstatus") == "F", "Election Results").when(
+        F.col("o_orderstatus") == "O", "Access Denied").otherwise("Town &amp; Clerk")
+    return (
+        lists.join(orders, lists.l_orderkey == orders.o_orderkey)
+        .join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .select(
+            F.col("o_orderkey").alias("page_id"),
+            F.concat(F.lit("https://host"), F.col("c_nationkey").cast("string"),
+                     F.lit(".example.gov/elections/"), F.col("o_orderkey").cast("string"))
+            .alias("url"),
+            F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("state"),
+            "o_orderdate",
+            F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body><h1>"),
+                     title, F.lit("</h1><ul>"), F.col("items"), F.lit("</ul></body></html>"))
+            .alias("html"))
+    )
+
+
+CP_SQL = """
+cpl AS (
+  SELECT o_orderkey AS page_id, 'https://host' || CAST(c_nationkey AS VARCHAR) || '.example.gov' AS root,
+         'https://host' || CAST(c_nationkey AS VARCHAR) || '.example.gov/elections/'
+           || CAST(o_orderkey AS VARCHAR) AS url,
+         'S' || CAST(n_regionkey AS VARCHAR) AS state, o_orderstatus, o_orderdate, l_linenumber,
+         l_returnflag, l_linestatus, l_partkey, l_suppkey, s_nationkey,
+         CASE l_returnflag WHEN 'A' THEN '/results/' || CAST(l_partkey AS VARCHAR) || '.csv?utm_source=x'
+           WHEN 'N' THEN 'docs/' || CAST(l_partkey AS VARCHAR) || '.pdf'
+           ELSE 'https://vendor' || CAST(l_suppkey % 3 AS VARCHAR) || '.example.com/clerk/'
+             || CAST(l_partkey AS VARCHAR) END AS href,
+         CASE l_returnflag WHEN 'A' THEN 'https://host' || CAST(c_nationkey AS VARCHAR)
+             || '.example.gov/results/' || CAST(l_partkey AS VARCHAR) || '.csv'
+           WHEN 'N' THEN 'https://host' || CAST(c_nationkey AS VARCHAR)
+             || '.example.gov/elections/docs/' || CAST(l_partkey AS VARCHAR) || '.pdf'
+           ELSE 'https://vendor' || CAST(l_suppkey % 3 AS VARCHAR) || '.example.com/clerk/'
+             || CAST(l_partkey AS VARCHAR) END AS link,
+         CASE l_linestatus WHEN 'O' THEN 'Canvass report ' ELSE 'Official results ' END
+           || CAST(l_linenumber AS VARCHAR) AS label,
+         CASE o_orderstatus WHEN 'F' THEN 'Election Results' WHEN 'O' THEN 'Access Denied'
+           ELSE 'Town & Clerk' END AS title
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON l_suppkey = s_suppkey)
+"""

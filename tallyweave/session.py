@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUNTIME_CONF = {
@@ -77,6 +77,16 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     return df
 
 
+def bind(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns that are computed once per row and then only referred to.
+
+    A one-element ``inline`` keeps the optimizer from copying a long expression into every
+    filter and projection above it; it adds no rows and no shuffle.
+    """
+    row = F.struct(*[expr.alias(name) for name, expr in values.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def fixed_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small constant table as literals in the plan (its size is the length of ``rows``)."""
     names = [part.strip().split(" ", 1) for part in schema.split(",")]
