@@ -1,3 +1,3 @@
 """Query plans over the given tables."""
 
-PLAN_MODULES = ["facts", "history", "web"]
+PLAN_MODULES = ["facts", "history", "web", "queues", "cover"]
