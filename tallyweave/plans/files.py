@@ -187,9 +187,11 @@ def heading_pages(spark, sf_dir):
 @query("line_reports", f"""
 WITH {_L_SQL},
 f AS (SELECT k, min(n) AS fn FROM l GROUP BY ALL),
-g AS (SELECT l.*, sum(CASE WHEN ls = 'F' OR n = fn THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY n) AS grp FROM l JOIN f USING (k))
-SELECT unit AS reporting_unit_name, first_value(race) OVER (PARTITION BY k, grp ORDER BY n) || ' Member ' || CAST(first_value(n) OVER (PARTITION BY k, grp ORDER BY n) AS VARCHAR) || ' seat' AS contest_name,
-  choice AS choice_name, row_number() OVER (PARTITION BY k, grp ORDER BY n) AS source_order, v + 3000 AS votes, CAST(k AS BIGINT) AS registered_voters FROM g
+r AS (SELECT l.*, ls = 'F' OR n = fn AS head, row_number() OVER (PARTITION BY k ORDER BY n, choice, race, v, ls) AS rn FROM l JOIN f USING (k)),
+g AS (SELECT *, sum(head::INT) OVER (PARTITION BY k ORDER BY rn) AS grp FROM r)
+SELECT unit AS reporting_unit_name, first_value(race) OVER w || ' Member ' || CAST(first_value(n) OVER w AS VARCHAR) || ' seat' AS contest_name,
+  choice AS choice_name, row_number() OVER w AS source_order, v + 3000 AS votes, CAST(k AS BIGINT) AS registered_voters FROM g
+WINDOW w AS (PARTITION BY k, grp ORDER BY rn)
 """)
 def line_reports(spark, sf_dir):
     # A contest line is written for every line item of status F and for the first of an order.
@@ -202,9 +204,8 @@ def line_reports(spark, sf_dir):
         .otherwise(""),
         F.lit("\n  "), F.col("choice"), F.lit("   "), F.format_number(F.col("v") + 3000, 0),
         F.lit("\nTotal Votes 99\nOvervotes 1\n"))
-    rows = rows.select("k", "unit", "n", line.alias("x"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "x"))),
-                                    lambda s: s.x), "")
+    entry = F.struct("n", "choice", "race", "v", "ls", line.alias("x"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda s: s.x), "")
     docs = rows.groupBy("k", "unit").agg(text.alias("t")).select("k", F.concat(
         F.lit("Report\n\nPrecinct: "), F.col("unit"), F.lit("\r\nRegistered Voters "),
         F.col("k"), F.col("t")).alias("body"))
