@@ -84,5 +84,5 @@ def in_archive_window(day: Column, election_day: Column) -> Column:
 
 def split_links(value: Column) -> Column:
     """Non-blank parts of a ``a | b`` cell."""
-    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), r" \| "), F.trim),
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), r" \| "), lambda p: F.trim(p)),
                     lambda p: p != "")
