@@ -77,9 +77,9 @@ def _code_point(n: Column) -> Column:
 
 def text_of(html: Column) -> Column:
     """Visible text: strings between tags, trimmed, joined by one space, unescaped."""
-    pieces = F.split(F.regexp_replace(html, _DROP, "\x01"), "\x01")
-    strip = F.transform(pieces, lambda p: F.regexp_replace(p, r"^\s+|\s+$", ""))
-    return unescape(F.array_join(F.filter(strip, lambda p: p != ""), " "))
+    flat = F.regexp_replace(html, _DROP, "\x01")
+    joined = F.regexp_replace(flat, r"\s*\x01[\s\x01]*", " ")
+    return unescape(F.regexp_replace(joined, r"^\s+|\s+$", ""))
 
 
 def attribute(tag: Column, name: str) -> Column:

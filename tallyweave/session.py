@@ -14,6 +14,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when the next aggregate then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Text parsing costs far more per byte than a scan: keep small shuffles on all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # HotSpot does not compile larger methods; past it, generate code per operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
