@@ -471,8 +471,10 @@ def directory_links(pages: DataFrame, units: DataFrame, election_year: int = 202
     base = pages.select(page_url, state, html, snap.alias("snapshot_sha256"))
     base = U.normalize_urls(base, page_url, "_page")
     base = base.filter((F.col("_page") != "") & U.publishable(F.col("_page")))
-    access = C.access_state(h, H.first_element_text(h, "title"), H.text_of(h))
+    base = bind(base, _title=H.first_element_text(h, "title"), _words=H.text_of(h))
+    access = C.access_state(h, F.col("_title"), F.col("_words"))
     base = bind(base, _access=access).filter("_access = 'html_content'")
+    base = base.drop("_title", "_words", "_access")
     tag = F.regexp_extract(h, r"(?is)(<base\b[^>]*>)", 1)
     base = bind(base, _href0=F.coalesce(H.attribute(tag, "href"), F.lit("")))
     base = U.normalize_urls(base, "_href0", "_b", "_page")
