@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,13 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; partition counts stay the cluster's."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # Python workers must find this package when it is run from a source folder; on a cluster it
+    # is shipped with --py-files as usual.
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    root = str(Path(__file__).resolve().parents[1])
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(
+            [p for p in paths if p] + [root])
     return spark
 
 
