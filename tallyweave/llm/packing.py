@@ -19,7 +19,6 @@ table gives an empty result.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from bisect import insort
 from collections.abc import Iterator
@@ -35,26 +34,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tallyweave.llm.shared import stored
-from tallyweave.llm.text import documents, slices
+from tallyweave.llm.text import WordCodes, documents, slices
 
 SIZE = 1024
 END = 2
 #: Encoded words that a worker keeps; beyond it starts afresh.
 CACHE = 400_000
-_ODD = re.compile(r"\s\s|\A\s|\s\Z")
-_LINE = "\n"
 
 
-class Encoder:
+class Encoder(WordCodes):
     """Token ids of texts as little-endian unsigned 32-bit bytes, remembering words.
 
     Merging the adjacent pair whose token comes first in the vocabulary, as tiktoken does, gives what
     the tokenizer's list of merges gives: a token's parts always come before it, so merges happen in
     order of the vocabulary, and between given ends the same bytes are merged to the same tokens.
-
-    The pattern that parts words joins a space only to what follows. A text without white space at
-    its ends or next to other white space is therefore its first part up to a space and then each
-    further part with its space, each encoded alone.
     """
 
     def __init__(self, path: str):
@@ -67,43 +60,11 @@ class Encoder:
                  if not word.startswith("<|")}
         self.coder = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN,
                                        mergeable_ranks=ranks, special_tokens={})
-        self.line = ranks[_LINE.encode()]
-        self.heads: dict[str, bytes] = {"": b""}
-        self.spaced: dict[str, bytes] = {}
+        super().__init__(ranks[b"\n"], CACHE)
 
-    def _ids(self, text: str) -> np.ndarray:
+    def ids(self, text: str) -> np.ndarray:
         return np.array(self.coder.encode_ordinary(text), dtype="<u4")
 
-    def _learn(self, known: dict[str, bytes], parts: set[str], before: str) -> None:
-        """Encode parts, many in one call with a line end between two.
-
-        A line end with no white space beside it is a token of its own, so a part's ids end at the
-        next line end that is not one of its own.
-        """
-        new = list(parts - known.keys())
-        for start in range(0, len(new), 5000):
-            own = new[start:start + 5000]
-            ids = self._ids(before + (_LINE + before).join(own))
-            cuts = np.append(np.flatnonzero(ids == self.line), len(ids))
-            ends = cuts[np.cumsum([p.count(_LINE) + 1 for p in own]) - 1] * 4
-            data, begin = ids.tobytes(), 0
-            for part, end in zip(own, ends.tolist()):
-                known[part] = data[begin:end]
-                begin = end + 4
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.heads) + len(self.spaced) > CACHE:
-            self.heads, self.spaced = {"": b""}, {}
-        odd = [_ODD.search(t) is not None for t in texts]
-        lists = [[] if o else t.split(" ") for o, t in zip(odd, texts)]
-        firsts = [p[0] if p else "" for p in lists]
-        rest = [p[1:] for p in lists]
-        self._learn(self.heads, set(firsts), "")
-        self._learn(self.spaced, set().union(*rest), " ")
-        head, find = self.heads.__getitem__, self.spaced.__getitem__
-        return [self._ids(t).tobytes() if o else head(f) + b"".join(map(find, r))
-                for o, t, f, r in zip(odd, texts, firsts, rest)]
-
 
 def cut(ids: bytes) -> list[tuple[int, int, int]]:
     """(start, length, crc32 of the ids) of the pieces of a document, the odd one first."""

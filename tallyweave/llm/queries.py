@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.llm import jaccard, langid, packing, toxicity
+from tallyweave.llm import bpe, html, jaccard, langid, packing, toxicity, urls
 from tallyweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,27 @@ def op10_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_byte_bpe(spark, sf_dir):
+    """Digests of the byte-level BPE ids of every document and of what they decode to."""
+    return bpe.digest_documents(table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+# The rules that come before the model.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    """Verdict on every page's URL by rules, or else by the model."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op9_html_extraction(spark, sf_dir):
+    """Main text of every page by composite text density."""
+    return html.extract_pages(table(spark, sf_dir, "pages"))
