@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.llm import bpe, html, jaccard, langid, packing, toxicity, urls
+from tallyweave.llm import bpe, fingerprints, html, jaccard, langid, packing, toxicity, urls
 from tallyweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op6_url_filter(spark, sf_dir):
 def op9_html_extraction(spark, sf_dir):
     """Main text of every page by composite text density."""
     return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_document_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))

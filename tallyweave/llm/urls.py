@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 15
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.5
+PRIOR = 0.35
 
 # The labelled URLs that the model learns from (1: to be blocked).
 LABELLED = [
@@ -112,18 +113,20 @@ class Model:
 
 def train(labelled: list[tuple[str, int]] = LABELLED, rounds: int = 400, rate: float = 4.0,
           ridge: float = 0.002) -> Model:
-    """Ridge-penalised logistic regression by gradient steps on a small table of URLs."""
+    """Ridge-penalised logistic regression by gradient steps on a small table of URLs.
+
+    The constant is fixed by ``PRIOR``, so that a URL with nothing to judge by is allowed.
+    """
     hosts, paths = zip(*((h, "/" + p) for h, _, p in (u.partition("/") for u, _ in labelled)))
     y = np.array([k for _, k in labelled], float)
     buckets, sizes = features(list(hosts), list(paths))
     x = np.zeros((len(y), BUCKETS), np.float32)
     np.add.at(x, (np.repeat(np.arange(len(y)), sizes), buckets), 1)
     x /= np.sqrt(np.maximum(sizes, 1))[:, None]
-    weights, constant = np.zeros(BUCKETS), 0.0
+    weights, constant = np.zeros(BUCKETS), float(np.log(PRIOR / (1 - PRIOR)))
     for _ in range(rounds):
         miss = 1 / (1 + np.exp(-(x @ weights + constant))) - y
         weights -= rate * (x.T @ miss / len(y) + ridge * weights)
-        constant -= 0.1 * rate * miss.mean()
     return Model(weights, constant)
 
 
