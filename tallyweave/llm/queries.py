@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.llm import bpe, fingerprints, html, jaccard, langid, packing, toxicity, urls
+from tallyweave.llm import (
+    bpe,
+    brown,
+    fingerprints,
+    html,
+    jaccard,
+    langid,
+    packing,
+    toxicity,
+    urls,
+)
 from tallyweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +91,9 @@ def op9_html_extraction(spark, sf_dir):
 def op4_document_fingerprints(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_brown_class_lm(spark, sf_dir):
+    """log10 probability of every document under class-based bigrams."""
+    return brown.score_documents(table(spark, sf_dir, "documents"))
