@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyweave.llm import (
     bpe,
@@ -15,6 +16,7 @@ from tallyweave.llm import (
     jaccard,
     langid,
     packing,
+    search,
     toxicity,
     urls,
 )
@@ -97,3 +99,10 @@ def op4_document_fingerprints(spark, sf_dir):
 def op2_brown_class_lm(spark, sf_dir):
     """log10 probability of every document under class-based bigrams."""
     return brown.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_top_k_search(spark, sf_dir):
+    """The ten documents most like every document whose id is divisible by 20."""
+    docs = table(spark, sf_dir, "documents")
+    return search.more_like(docs, docs.where(F.col("doc_id") % 20 == 0))
