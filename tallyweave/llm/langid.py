@@ -105,13 +105,15 @@ def automaton(classes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = twin
         last = now
-    table = np.full((len(follow), width), -1, np.int64)
+    dead = len(follow)  # behind a letter that is nowhere in the sample, a phrase by itself
+    table = np.full((dead + 1, width), -1, np.int64)
     for state, out in enumerate(follow):
         for c, to in out.items():
             table[state, c] = to
-    restart = np.where(table[0] < 0, 0, table[0]) * width + 1
+    restart = np.where(table[0] < 0, dead, table[0]) * width + 1
     table = np.where(table < 0, restart, table * width)
-    table[:, width - 1] = np.arange(len(follow)) * width
+    table[0] -= table[0] & 1  # at the start no phrase is broken off
+    table[:, width - 1] = np.arange(dead + 1) * width
     return table.astype(np.int32).ravel()
 
 
