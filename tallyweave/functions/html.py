@@ -32,8 +32,8 @@ def unescape(value: Column) -> Column:
     bare_map = F.from_json(F.lit(bare), "map<string,string>")
 
     def piece(p: Column) -> Column:
-        dec = F.regexp_extract(p, r"^#([0-9]{1,7});?", 1)
-        hexa = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]{1,6});?", 1)
+        dec = F.regexp_extract(p, r"^#([0-9]+);?", 1)
+        hexa = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]+);?", 1)
         named = F.element_at(full_map, F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*);", 1))
         old_name = F.regexp_extract(p, rf"^({names})", 1)
         old = F.element_at(bare_map, old_name)
@@ -42,10 +42,9 @@ def unescape(value: Column) -> Column:
             return F.regexp_replace(p, pattern, "")
 
         return (
-            F.when(dec != "", F.concat(_code_point(dec.cast("long")), rest(r"^#[0-9]{1,7};?")))
+            F.when(dec != "", F.concat(_code_point(_number(dec, 10)), rest(r"^#[0-9]+;?")))
             .when(hexa != "", F.concat(
-                _code_point(F.conv(hexa, 16, 10).cast("long")),
-                rest(r"^#[xX][0-9a-fA-F]{1,6};?")))
+                _code_point(_number(hexa, 16)), rest(r"^#[xX][0-9a-fA-F]+;?")))
             .when(named.isNotNull(), F.concat(named, rest(r"^[A-Za-z][A-Za-z0-9]*;")))
             .when(old.isNotNull(), F.concat(old, F.substr(p, F.length(old_name) + 1)))
             .otherwise(F.concat(F.lit("&"), p))
@@ -57,6 +56,23 @@ def unescape(value: Column) -> Column:
     return F.when(value.contains("&"), rebuilt).otherwise(value)
 
 
+# What the references 128 to 159 stand for in the standard (windows-1252); the five
+# without an entry stand for themselves.
+_WINDOWS = {k: ord(bytes([k]).decode("cp1252")) for k in range(128, 160)
+            if k not in (129, 141, 143, 144, 157)}
+_REPLACEMENT = 0xFFFD
+
+
+def _number(digits: Column, base: int) -> Column:
+    """The code point that digits of any number stand for, by the standard's rules."""
+    plain = F.regexp_replace(digits, "^0+", "")
+    n = F.when(F.length(plain) <= 7, F.conv(F.concat(F.lit("0"), plain), base, 10).cast("long"))
+    invalid = n.isNull() | (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    table = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
+    return F.when(invalid, F.lit(_REPLACEMENT).cast("long")).otherwise(
+        F.coalesce(F.element_at(table, n.cast("int")).cast("long"), n))
+
+
 def _code_point(n: Column) -> Column:
     """Character of a code point, encoded as UTF-8 bytes."""
     def byte(v: Column) -> Column:

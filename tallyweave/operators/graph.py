@@ -15,7 +15,7 @@ def children(edges: DataFrame, parent: str, relation: str | None = None) -> Data
     return (out.filter(F.col("relation") == relation) if relation else out).select("child_id")
 
 
-def pointer_cycles(parents: DataFrame, node: str, parent: str, max_rounds: int = 64) -> DataFrame:
+def pointer_cycles(parents: DataFrame, node: str, parent: str) -> DataFrame:
     """Nodes on a cycle where every node has at most one parent.
 
     Following the pointer 1, 2, 4, ... steps keeps only nodes still reachable after that many
@@ -26,7 +26,7 @@ def pointer_cycles(parents: DataFrame, node: str, parent: str, max_rounds: int =
         F.col(node).alias("n"), F.col(parent).alias("p"))
     single = jump
     size = None
-    for _ in range(max_rounds):
+    while True:  # the set shrinks or this ends
         alive = jump.select(F.col("p").alias("n")).distinct()
         jump = jump.join(alive, "n", "left_semi")
         step = jump.select(F.col("n").alias("p"), F.col("p").alias("far"))
@@ -39,18 +39,16 @@ def pointer_cycles(parents: DataFrame, node: str, parent: str, max_rounds: int =
     return cycle.join(single, "n", "left_semi").select(F.col("n").alias(node))
 
 
-def edge_cycles(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def edge_cycles(edges: DataFrame) -> DataFrame:
     """Edges left after peeling nodes without parents or without children.
 
     ``edges`` has parent_id and child_id. The residue is empty exactly when the graph is
-    acyclic; otherwise it holds every cycle and the paths between cycles. Rounds are bounded by
-    the depth of the hierarchy; each round is checkpointed.
+    acyclic; otherwise it holds every cycle and the paths between cycles. Rounds go on to
+    the fixed point, at most the depth of the hierarchy; each is checkpointed.
     """
     rest = edges.select("parent_id", "child_id").distinct()
     left = rest.count()
-    for _ in range(max_rounds):
-        if left == 0:
-            break
+    while left:
         heads = rest.select(F.col("child_id").alias("parent_id")).distinct()
         tails = rest.select(F.col("parent_id").alias("child_id")).distinct()
         rest = cut_lineage(rest.join(heads, "parent_id", "left_semi")

@@ -138,7 +138,7 @@ def page_events(captures: DataFrame, links: DataFrame, page: str, at: str) -> Da
     return page_rows.unionByName(appeared).unionByName(gone)
 
 
-def latest_events(events: DataFrame, order: str, keep: int = 1000) -> DataFrame:
+def latest_events(events: DataFrame, order: str, keep: int) -> DataFrame:
     """The newest ``keep`` journal rows, as the retained state shows them."""
     return events.orderBy(F.col(order).desc()).limit(keep)
 

@@ -185,7 +185,7 @@ def discover(pages: DataFrame, page_url: str = "url", html: str = "html",
     keep = [c for c in pages.columns if c not in (html, page_url)]
     provenance = F.struct(
         F.col(page_url).alias("page_url"), "resolution_base", "kind", "raw_target",
-        F.left("label", F.lit(500)).alias("label"), "keyword_match")
+        "label", "keyword_match")
     return (
         hit.withColumn("_score", score)
         .groupBy(*keep, page_url, "candidate_url")
@@ -505,10 +505,7 @@ def directory_links(pages: DataFrame, units: DataFrame, election_year: int = 202
     found = U.normalize_urls(found, "href", "link", "resolution_base")
     found = found.filter((F.col("link") != "") & U.publishable(F.col("link"))
                          & ~U.host(F.col("link")).rlike(SOCIAL_HOSTS))
-    too_long = ((F.col("basis") == "directory_row") & (F.length("_head") > 1000)) | (
-        F.col("basis").isin("details_summary", "definition_term") & (F.length("_head") > 300))
-    text = F.when(F.col("basis") == "anchor_label", F.col("label")).when(
-        too_long, F.lit("")).otherwise(F.col("_head"))
+    text = F.when(F.col("basis") == "anchor_label", F.col("label")).otherwise(F.col("_head"))
     found = bind(found, _text=text)
     distinct_texts = found.select(state, "_text").distinct()
     named = label_matches(distinct_texts, ["_text"], "_text", units, "jurisdiction_id",
@@ -555,8 +552,8 @@ def directory_links(pages: DataFrame, units: DataFrame, election_year: int = 202
     return rows.select(
         "state", "url", "observed_from", "resolution_base", "associated_unit_ids",
         "match_status", "match_basis", "link_role",
-        F.left(U.clean_label(F.col("label")), F.lit(300)).alias("label"),
-        F.left(U.clean_label(F.col("_context")), F.lit(1000)).alias("evidence_excerpt"),
+        U.clean_label(F.col("label")).alias("label"),
+        U.clean_label(F.col("_context")).alias("evidence_excerpt"),
         "snapshot_sha256", "next_action", "election_context", "election_year_clues",
         "source_format", "update_evidence",
     ).dropDuplicates(["observed_from", "state", "url", "associated_unit_ids", "match_status"])
@@ -589,7 +586,7 @@ def csv_directory(rows: DataFrame, units: DataFrame, page_url: Column, name: str
     status = (F.when(here, "directory_anchor").when(artifact, "artifact_lead")
               .when(n == 1, "unit_label_candidate").when(n > 1, "ambiguous_unit_label")
               .otherwise("unmatched_directory_link"))
-    label = F.left(U.clean_label(F.col(name)), F.lit(300))
+    label = U.clean_label(F.col(name))
     keyword = F.concat(F.lit("Website "), U.path(F.col("link"))).rlike(AUTHORITY_WORDS)
     return joined.filter((n > 0) | keyword).select(
         state, F.col("link").alias("url"), "observed_from", row_number,

@@ -98,10 +98,10 @@ def snapshot_rules(need_body: bool = True) -> dict[str, Column]:
     return rules
 
 
-def missing_provenance(records: DataFrame, snapshots: DataFrame, shown: int = 10) -> DataFrame:
-    """First records without a landed snapshot of their own source (V3); a top-k report."""
+def missing_provenance(records: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """All records without a landed snapshot of their own source (V3)."""
     known = snapshots.select("source_id", F.col("sha256").alias("snapshot_sha256")).distinct()
-    return records.join(known, ["source_id", "snapshot_sha256"], "left_anti").limit(shown)
+    return records.join(known, ["source_id", "snapshot_sha256"], "left_anti")
 
 
 def attach_snapshot(records: DataFrame, source_id: str, sha256: str) -> tuple[

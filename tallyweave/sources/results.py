@@ -625,9 +625,12 @@ def report_profile(df: DataFrame, text: str) -> DataFrame:
 
 
 def payload_kind(body: Column) -> Column:
-    """Kind of a binary payload by its first bytes."""
+    """Kind of a binary payload by how it starts, for tables by its whole first line.
+
+    Each byte counts as a character: what decides is ASCII, and any bytes can be read so.
+    """
     start = F.substring(body, 1, 4)
-    text = F.regexp_replace(F.decode(F.substring(body, 1, 65536), "UTF-8"), r"^\s+", "")
+    text = F.regexp_replace(F.decode(body, "ISO-8859-1"), r"^\s+", "")
     line = F.regexp_extract(text, r"^([^\r\n]*)", 1)
     return (
         F.when(F.hex(start) == "504B0304", "excel")

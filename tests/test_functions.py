@@ -86,3 +86,24 @@ def test_invalid_ids_are_null(spark):
     got = [r[0] for r in df.select(ids.jurisdiction_id(
         F.col("s"), F.col("l"), F.col("n"))).collect()]
     assert got == [None, None, None, "us:mi:county:a"]
+
+
+def test_hostile_character_references(spark):
+    from tallyweave.functions.html import unescape
+
+    cases = {"&#55296;x": "\ufffdx", "&#1114112;": "\ufffd", "&#0;": "\ufffd", "&#128;": "€",
+             "&#129;": "\x81", "&#x80;": "€", "&#00000065;": "A", "&#x0000041;": "A",
+             "&#99999999999999999999;": "\ufffd", "&#xD800;": "\ufffd", "a &#233 b": "a é b"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r[0]: r[1] for r in df.select("t", unescape(F.col("t"))).collect()}
+    assert got == cases
+
+
+def test_payload_kind_reads_any_bytes_and_whole_lines(spark):
+    from tallyweave.sources.results import payload_kind
+
+    long = b"x" * 70_000 + b",a,b\n1"
+    cases = [(b"\xff\xfe\x00,a,b", "csv"), (long, "csv"), (b" \n{", "json"), (b"", "unknown"),
+             (b"PK\x03\x04", "excel"), ("é".encode() * 40_000, "unknown")]
+    df = spark.createDataFrame([(bytearray(b), k) for b, k in cases], "b binary, k string")
+    assert df.where(payload_kind(F.col("b")) != F.col("k")).count() == 0
