@@ -107,6 +107,32 @@ def test_brown_counts_and_gain(docs):
         assert abs(r["base_score"] - want[r["doc_id"]]) < 1e-6 and r["score"] <= 1e-9
 
 
+def test_search_equals_scoring_every_row(docs):
+    own = [(d, search.terms(t or "")) for d, t, *_ in rows()]
+    df = Counter(w for _, ws in own for w in set(ws))
+    n, mean = len(own), sum(len(ws) for _, ws in own) / len(own)
+    idf = {w: math.log(1 + (n - k + .5) / (k + .5)) for w, k in df.items()}
+    asked = {}
+    for d, ws in own:
+        if d is not None and d % 5 == 0:
+            asked.setdefault(d, Counter()).update(ws)
+    got = {}
+    for r in search.more_like(docs, docs.where("doc_id % 5 = 0")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    for q, tf in asked.items():
+        keep = sorted((w for w in tf if df[w] > 1), key=lambda w: (-tf[w] * idf[w], w))
+        score = []
+        for d, ws in own:
+            c = Counter(ws)
+            score.append((-round(sum(
+                idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (.25 + .75 * len(ws) / mean))
+                for w in keep[:search.TERMS] if c[w]), 9), d is None, d or 0))
+        want = sorted(s for s in score if s[0] < 0)[:search.TOP]
+        have = sorted(got.get(q, []))
+        assert [None if s[1] else s[2] for s in want] == [h[1] for h in have]
+        assert all(abs(h[2] + s[0]) < 1e-8 for h, s in zip(have, want))
+
+
 def test_packing_is_gapless(docs):
     got = packing.pack(docs, TOKENIZER).collect()
     by = {}

@@ -114,21 +114,38 @@ def test_embedding_is_stable_and_measures_edits():
     assert not together[2].any()
 
 
-def test_part_search_equals_scoring_all():
+@pytest.mark.parametrize("step", [1, 50, 1_000_000])
+def test_part_search_equals_scoring_all(step, monkeypatch):
+    monkeypatch.setattr(search, "STEP", step)
     rng = np.random.default_rng(6)
-    for _ in range(20):
-        rows, terms = 400, 30
-        row, term = rng.integers(0, rows, 6000), (rng.integers(0, 900, 6000) ** 0.5).astype(int)
-        lengths, weight = np.bincount(row, minlength=rows), rng.random(terms) + 0.1
-        part = search.Part(row, term, lengths, weight, lengths.mean())
-        query, best = rng.permutation(terms)[:8].tolist(), []
-        part.search(query, best, list(range(rows)), 10)
-        score = np.zeros(rows)
-        for t in query:
-            own = part.term == t
-            score[part.row[own]] += part.impact[own]
-        want = sorted(score, reverse=True)[:10]
-        assert np.allclose(sorted((b[0] for b in best), reverse=True), want)
+    for _ in range(5):
+        terms, asked = 30, search.Queries(50.0, 10)
+        weight = rng.random(terms) + 0.1
+        lists = [rng.permutation(terms)[:rng.integers(1, 9)].tolist() for _ in range(40)]
+        lists[0] = list(range(terms))
+        asked.add(list(range(40)), [list(map(str, q)) for q in lists], [weight[q] for q in lists])
+        asked.ready()
+        code = np.array([asked.index[str(t)] for t in range(terms)])
+        score = np.zeros((40, 0))
+        for _ in range(3):  # three parts, the last of copies of the second
+            rows = 400
+            if score.shape[1] < 800:
+                row, term = rng.integers(0, rows, 6000), (rng.integers(0, 900, 6000) ** .5).astype(int)
+            lengths = np.bincount(row, minlength=rows)
+            ids = np.arange(score.shape[1], score.shape[1] + rows)
+            part = search.Part(row, code[term], lengths, asked.weight, 50.0, ids,
+                               np.zeros(rows, bool))
+            part.search(asked)
+            own = np.zeros((40, rows))
+            for q, ts in enumerate(lists):
+                for t in code[ts]:
+                    has = part.term == t
+                    own[q, part.row[has]] += part.impact[has]
+            score = np.hstack([score, own])
+        for q in range(40):
+            want = np.lexsort((np.arange(score.shape[1]), -score[q]))[:10]
+            assert asked.doc[q].tolist() == want.tolist()
+            assert np.allclose(asked.score[q], score[q][want])
 
 
 def test_html_keeps_the_article_only():
