@@ -267,6 +267,10 @@ def resolve_simple(raw: Column, base: Column) -> Column:
     )
 
 
+# Fixed value: what counts as a web address in running text.
+TEXT_URL_PATTERN = r"""(?U)https?://[^\s\x1c-\x1f"'<>)]+"""
+
+
 def anchors(pages: DataFrame, page_url: str = "url", html: str = "html") -> DataFrame:
     """One row per anchor with href, label and resolved link; the base for L3 and L4."""
     keep = [c for c in pages.columns if c != html]
@@ -596,3 +600,18 @@ def csv_directory(rows: DataFrame, units: DataFrame, page_url: Column, name: str
         U.link_role(F.col("link"), F.col("observed_from"), F.lit("Website"),
                     F.concat_ws(" ", F.col(name), F.lit("Website")), artifact, here)
         .alias("link_role"), label.alias("label"))
+
+
+def text_urls(df: DataFrame, text: str, prefix: str) -> DataFrame:
+    """One numbered lead per distinct web address in a text, in order of first appearance.
+
+    Adds ``source_record_id`` (the ``prefix`` column and the number from 1), ``lead_url`` and
+    ``official_status``. Punctuation at an address's end is not part of it. Texts without an address,
+    null ones included, give no row.
+    """
+    found = F.regexp_extract_all(F.col(text), F.lit(TEXT_URL_PATTERN), F.lit(0))
+    urls = F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, "[.,;:]+$", "")))
+    rows = df.select("*", F.posexplode(urls).alias("_at", "lead_url"))
+    return rows.withColumns({
+        "source_record_id": F.concat_ws(":", F.col(prefix), F.col("_at") + 1),
+        "official_status": U.lead_status(F.col("lead_url"))}).drop("_at")

@@ -27,6 +27,29 @@ def canonical_urls(spark, sf_dir):
                       "safe", U.publishable(F.col("url")).alias("publishable"))
 
 
+@query("text_urls", r"""
+WITH t AS (SELECT page_id, 'See ' || url || ', then (' || url || '). https://votes.p' || page_id
+    || '.example.gov/r.csv; ' || coalesce(html, '') AS text FROM pages),
+m AS (SELECT page_id, regexp_extract_all(text, 'https?://[^\s"''<>)]+') AS us FROM t),
+e AS (SELECT page_id, unnest(us) AS u, generate_subscripts(us, 1) AS k FROM m),
+d AS (SELECT page_id, regexp_replace(u, '[.,;:]+$', '') AS lead_url, min(k) AS k FROM e GROUP BY ALL)
+SELECT page_id, 'page-' || page_id || ':' || row_number() OVER (PARTITION BY page_id ORDER BY k)
+    AS source_record_id, lead_url,
+  CASE WHEN regexp_matches(lead_url, '(?i)^https?://([^/?#]*\.)?gov([:/?#]|$)')
+    THEN 'likely_official' ELSE 'unknown' END AS official_status
+FROM d
+""")
+def text_urls(spark, sf_dir):
+    url = F.col("url")
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit("page-"), F.col("page_id")).alias("page"),
+        F.concat(F.lit("See "), url, F.lit(", then ("), url, F.lit("). https://votes.p"),
+                 F.col("page_id"), F.lit(".example.gov/r.csv; "),
+                 F.coalesce("html", F.lit(""))).alias("text"))
+    return L.text_urls(pages, "text", "page").select(
+        "page_id", "source_record_id", "lead_url", "official_status")
+
+
 @query("relative_urls", r"""
 WITH a AS (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS root,
              unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS href FROM pages)

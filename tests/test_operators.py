@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyweave import schemas
 from tallyweave.operators import (
-    coverage as V, frontier as Q, graph as G, history, identity, modes, observations as O,
-    overlap as M, quality)
+    coverage as V, frontier as Q, graph as G, history, identity, links, modes,
+    observations as O, overlap as M, quality)
 from tallyweave.operators.sliced import count_since_last, running_before
 from tallyweave.session import fixed_table
 
@@ -234,3 +234,14 @@ def test_strict_mode_raises(spark):
 
 def test_schemas_are_explicit():
     assert len(schemas.OBSERVATION) == 28 and "snapshot_sha256" in schemas.OBSERVATION.names
+
+
+def test_text_urls_number_distinct_addresses(spark):
+    rows = [("a", "See https://e.example.gov/r.csv, then https://e.example.gov/r.csv. (http://x.org/a)"),
+            ("b", None), ("c", "no address"), ("d", "q='https://gov:8/x';https://\u00e9.gov\u2003z")]
+    got = links.text_urls(spark.createDataFrame(rows, "id string, text string"), "text", "id").collect()
+    assert sorted((r["source_record_id"], r["lead_url"], r["official_status"]) for r in got) == [
+        ("a:1", "https://e.example.gov/r.csv", "likely_official"),
+        ("a:2", "http://x.org/a", "unknown"),
+        ("d:1", "https://gov:8/x", "likely_official"),
+        ("d:2", "https://\u00e9.gov", "likely_official")]
