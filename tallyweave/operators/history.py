@@ -11,8 +11,7 @@ PROGRESS_KEY = ["election_id", "jurisdiction_id", "source_id", "scope", "reporti
                 "contest_id"]
 
 
-def progress_findings(progress: DataFrame, tie: str | None = None,
-                      slice_unit: str = "day") -> DataFrame:
+def progress_findings(progress: DataFrame, tie: str | None = None) -> DataFrame:
     """Transitions of reporting progress that contradict each other.
 
     Rows are ordered by source time, else fetch time. Each value is compared with the last
@@ -23,7 +22,7 @@ def progress_findings(progress: DataFrame, tie: str | None = None,
     counts = F.col("kind") == "source_counts"
     done = F.col("kind") == "source_complete"
     seen = running_before(
-        rows, PROGRESS_KEY, order, F.date_trunc(slice_unit, "_at"),
+        rows, PROGRESS_KEY, order,
         {
             "prior_reporting": ("last", F.when(counts, F.col("reporting_count"))),
             "prior_expected": ("last", F.when(counts, F.col("expected_count"))),
@@ -54,15 +53,13 @@ def progress_findings(progress: DataFrame, tie: str | None = None,
     return seen.select(*keep, F.inline(findings))
 
 
-def out_of_order(observations: DataFrame, keys: list[str], at: str, arrival: str,
-                 block: int = 100_000) -> DataFrame:
+def out_of_order(observations: DataFrame, keys: list[str], at: str, arrival: str) -> DataFrame:
     """Flag rows that arrive with a time before the latest time already accepted.
 
     Equal times are accepted. A refused row never moves the latest time forward, so the running
     maximum over all earlier arrivals is the latest accepted time.
     """
-    seen = running_before(observations, keys, [arrival], F.floor(F.col(arrival) / block),
-                          {"_latest": ("max", F.col(at))})
+    seen = running_before(observations, keys, [arrival], {"_latest": ("max", F.col(at))})
     return seen.withColumn("refused", F.coalesce(F.col(at) < F.col("_latest"), F.lit(False))).drop(
         "_latest")
 
@@ -106,36 +103,32 @@ def page_events(captures: DataFrame, links: DataFrame, page: str, at: str) -> Da
     bytes are a reclassification. A link is discovered once per page, reappears after a capture
     without it, and is reported when the next capture lacks it.
     """
-    day = F.date_trunc("day", at)
-    before = running_before(captures, [page], [at], day, {
-        "_prev": ("last", F.struct(F.col(at).alias("t"), "digest", "rules_digest"))})
+    around = running_before(captures, [page], [at], {
+        "_prev": ("last", F.struct(F.col(at).alias("t"), "digest", "rules_digest")),
+        "_next_t": ("next", F.col(at))})
     kind = (
         F.when(F.col("_prev").isNull(), "baseline_captured")
         .when(F.col("_prev.digest") != F.col("digest"), "page_changed")
         .when(F.col("_prev.rules_digest") != F.col("rules_digest"), "fingerprints_reclassified")
     )
-    page_rows = before.withColumn("kind", kind).filter("kind is not null").select(
+    page_rows = around.withColumn("kind", kind).filter("kind is not null").select(
         page, at, "kind", F.col(page).cast("string").alias("link"))
 
-    around = running_before(before, [page], [at], day, {"_next_t": ("last", F.col(at))},
-                            reverse=True)
-    times = around.select(page, at, F.col("_prev.t").alias("_prev_t"), "_next_t")
-    seen = links.select(page, at, "link").distinct().join(times, [page, at])
-    # A window per page and link: its length is the number of captures of one page.
-    w = Window.partitionBy(page, "link").orderBy(at)
-    seen = seen.withColumn("_seen_before", F.lag(at).over(w)).withColumn(
-        "_seen_next", F.lead(at).over(w))
-    appeared = seen.withColumn(
-        "kind",
-        F.when(F.col("_seen_before").isNull(), "candidate_discovered")
-        .when(F.col("_seen_before") < F.col("_prev_t"), "candidate_reappeared"),
-    ).filter("kind is not null").select(page, at, "kind", F.col("link").cast("string"))
-    gone = seen.filter(
-        F.col("_next_t").isNotNull()
-        & (F.col("_seen_next").isNull() | (F.col("_seen_next") > F.col("_next_t")))
-    ).select(page, F.col("_next_t").alias(at),
-             F.lit("link_not_observed_this_capture").alias("kind"), F.col("link").cast("string"))
-    return page_rows.unionByName(appeared).unionByName(gone)
+    # A link marks its capture and the next one; a capture marked once only saw a change.
+    marks = links.select(page, at, "link").join(around.select(page, at, "_next_t"), [page, at])
+    here = F.struct(F.col(at).alias("at"), F.lit(1).alias("here"), F.lit(0).alias("was"))
+    after = F.struct(F.col("_next_t").alias("at"), F.lit(0).alias("here"), F.lit(1).alias("was"))
+    marks = marks.select(page, "link", F.inline(F.array_compact(F.array(
+        here, F.when(F.col("_next_t").isNotNull(), after)))))
+    turns = marks.groupBy(page, "link", "at").agg(
+        F.max("here").alias("here"), F.max("was").alias("was")).filter("here <> was")
+    first = links.groupBy(page, "link").agg(F.min(at).alias("_first"))
+    kind = (F.when(F.col("here") == 0, "link_not_observed_this_capture")
+            .when(F.col("at") == F.col("_first"), "candidate_discovered")
+            .otherwise("candidate_reappeared"))
+    link_rows = turns.join(first, [page, "link"]).select(
+        page, F.col("at").alias(at), kind.alias("kind"), F.col("link").cast("string"))
+    return page_rows.unionByName(link_rows)
 
 
 def latest_events(events: DataFrame, order: str, keep: int) -> DataFrame:

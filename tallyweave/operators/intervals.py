@@ -32,21 +32,26 @@ def _bounded(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumn("_from", from_or_min(start)).withColumn("_to", to_or_max(end))
 
 
-def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Union of the intervals of each key as disjoint intervals (columns _from, _to)."""
+def _islands(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """The first day of each disjoint interval of each key, by one sweep.
+
+    ``_reach`` is the last day of the interval before it (null at the first one of its key) and
+    ``_final`` the last day of the whole key.
+    """
     spans = _bounded(df, start, end).groupBy(*keys, "_from").agg(F.max("_to").alias("_to"))
-    year = F.year("_from")
-    seen = running_before(spans, keys, ["_from"], year, {"_reach": ("max", F.col("_to"))})
+    to = F.col("_to")
+    swept = running_before(spans, keys, ["_from"],
+                           {"_reach": ("max", to), "_rest": ("max_after", to)})
     opens = F.col("_reach").isNull() | (F.col("_from") > F.col("_reach"))
-    marked = seen.withColumn("_open", F.when(opens, F.col("_from")))
-    islands = running_before(marked, keys, ["_from"], year, {"_prior": ("last", F.col("_open"))})
-    island = F.coalesce("_open", "_prior")
-    return (
-        islands.withColumn("_island", island)
-        .groupBy(*keys, "_island")
-        .agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
-        .drop("_island")
-    )
+    return swept.filter(opens).select(
+        *keys, "_from", "_reach", F.greatest("_to", "_reach", "_rest").alias("_final"))
+
+
+def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """Union of the intervals of each key as disjoint intervals (columns _from, _to)."""
+    opened = running_before(_islands(df, keys, start, end), keys, ["_from"],
+                            {"_to": ("next", F.col("_reach"))})
+    return opened.select(*keys, "_from", F.coalesce("_to", "_final").alias("_to"))
 
 
 def overlap_conflicts(df: DataFrame, keys: list[str], identity: str, start: str,
@@ -60,7 +65,7 @@ def overlap_conflicts(df: DataFrame, keys: list[str], identity: str, start: str,
     """
     merged = merge_intervals(df, keys + [identity], start, end)
     witness = F.struct(F.col("_to"), F.col(identity).alias("other"))
-    swept = running_before(merged, keys, ["_from", "_to", identity], F.year("_from"),
+    swept = running_before(merged, keys, ["_from", "_to", identity],
                            {"_w": ("max", witness)})
     return swept.filter(F.col("_w._to") >= F.col("_from")).select(
         *keys, identity, F.col("_from").alias("starts"), F.col("_to").alias("ends"),
@@ -71,7 +76,7 @@ def adjacent_overlaps(df: DataFrame, keys: list[str], start: str, end: str,
                       tie: str) -> DataFrame:
     """Rows whose start is not after the end of the row just before them in their key."""
     spans = _bounded(df, start, end)
-    seen = running_before(spans, keys, ["_from", tie], F.year("_from"),
+    seen = running_before(spans, keys, ["_from", tie],
                           {"previous_to": ("last", F.col("_to"))})
     return seen.filter(F.col("_from") <= F.col("previous_to")).drop("_from", "_to")
 
@@ -91,7 +96,7 @@ def overlaps_any(probes: DataFrame, spans: DataFrame, keys: list[str], start: st
     p = _bounded(probes, start, end).select(
         *keys, F.col("_to").alias("_at"), F.lit(1).alias("_kind"),
         none.cast("date").alias("_reach"), F.col("_from").alias("_need"), *probe_columns)
-    swept = running_before(s.unionByName(p), keys, ["_at", "_kind"], F.year("_at"),
+    swept = running_before(s.unionByName(p), keys, ["_at", "_kind"],
                            {"_hit": ("max", F.col("_reach"))})
     # Probes of one instant may follow each other in any order: only spans feed the maximum.
     return swept.filter((F.col("_kind") == 1) & (F.col("_hit") >= F.col("_need"))).select(
@@ -107,20 +112,24 @@ def resolve_as_of(probes: DataFrame, facts: DataFrame, keys: list[str], identity
     identities are valid and, when it is one, which; matching pairs are never listed.
     """
     code = F.xxhash64(identity).cast("decimal(20,0)")
-    zero = F.lit(0).cast("decimal(20,0)")
-    merged = merge_intervals(facts, keys + [identity], start, end)
-    starts = merged.select(*keys, F.col("_from").alias("_at"), F.lit(0).alias("_kind"),
-                           F.lit(1).alias("_n"), code.alias("_code"))
-    ends = merged.filter(F.col("_to") < F.lit(MAX_DATE).cast("date")).select(
-        *keys, F.date_add("_to", 1).alias("_at"), F.lit(0).alias("_kind"),
-        F.lit(-1).alias("_n"), (-code).cast("decimal(20,0)").alias("_code"))
+
+    def event(at: Column, n: int) -> Column:
+        worth = (code * n).cast("decimal(20,0)")
+        return F.struct(at.alias("_at"), F.lit(0).alias("_kind"), F.lit(n).alias("_n"),
+                        worth.alias("_code"))
+
+    # An opening also closes the interval before it; the first one closes the last of its key.
+    last = F.when(F.col("_reach").isNull(), F.col("_final"))
+    ended = [F.when(day < F.lit(MAX_DATE).cast("date"), event(F.date_add(day, 1), -1))
+             for day in (F.col("_reach"), last)]
+    events = _islands(facts, keys + [identity], start, end).select(
+        *keys, F.inline(F.array_compact(F.array(event(F.col("_from"), 1), *ended))))
     asked = probes.select(*keys, F.col(when).alias("_at")).filter("_at is not null").distinct()
     asked = asked.select(*keys, "_at", F.lit(1).alias("_kind"), F.lit(0).alias("_n"),
-                         zero.alias("_code"))
-    swept = running_before(
-        starts.unionByName(ends).unionByName(asked), keys, ["_at", "_kind"], F.year("_at"),
-        {"_live": ("sum", F.col("_n")), "_which": ("sum", F.col("_code"))})
+                         F.lit(0).cast("decimal(20,0)").alias("_code"))
+    swept = running_before(events.unionByName(asked), keys, ["_at", "_kind"],
+                           {"_live": ("sum", F.col("_n")), "_which": ("sum", F.col("_code"))})
     hits = swept.filter((F.col("_kind") == 1) & (F.col("_live") == 1)).select(
         *keys, F.col("_at").alias(when), F.col("_which").cast("decimal(20,0)").alias("_code"))
-    names = merged.select(*keys, identity, code.alias("_code")).distinct()
+    names = facts.select(*keys, identity, code.alias("_code")).distinct()
     return hits.join(names, [*keys, "_code"]).select(*keys, when, identity)

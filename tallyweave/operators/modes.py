@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.functions.ids import mode_label
-from tallyweave.session import broadcast_if_bounded, fixed_table
+from tallyweave.session import fixed_table
 
 # Labels every source shares, by mode; then labels with a state meaning.
 LITERAL_LABELS = {
@@ -84,13 +84,13 @@ def resolve_modes(df: DataFrame, label: str | Column, state: Column | None = Non
     """Add vote_mode, vote_mode_mapping_method, vote_mode_evidence_reference, aggregation.
 
     The most specific matching rule wins: state and source count one each. When rules of equal
-    specificity disagree on mode or aggregation nothing is chosen. Facts are not shuffled while
-    the rule table is under the broadcast bound.
+    specificity disagree on mode or aggregation nothing is chosen. The default rules are a
+    constant and broadcast; for other rules adaptive execution decides by their size in bytes.
     """
     if rules is None:
         table = F.broadcast(rules_by_label(default_rules(df.sparkSession)))
     else:
-        table = broadcast_if_bounded(rules_by_label(rules))
+        table = rules_by_label(rules)
     label = F.col(label) if isinstance(label, str) else label
     state = F.upper(state) if state is not None else F.lit(None).cast("string")
     source_id = source_id if source_id is not None else F.lit(None).cast("string")

@@ -42,36 +42,36 @@ def match_snapshots(left: DataFrame, right: DataFrame, tolerance: float = 0.05,
     """
     f = "reporting_fraction"
     body = F.struct("captured_at", *PAYLOAD)
+    # Only ids and fractions are swept; the vectors of chosen pairs are joined afterwards.
     rights = right.filter(F.col(f).isNotNull()).groupBy(*keys, f).agg(
-        F.min_by(body, "captured_at").alias("_right"))
-    lefts = left.filter(F.col(f).isNotNull()).select(
-        *keys, f, F.lit(1).alias("_side"), F.col("captured_at").alias("_tie"),
-        F.struct("captured_at", *PAYLOAD).alias("_left"))
-    kind = right.select(body.alias("b")).schema["b"].dataType
-    rows = rights.select(
-        *keys, f, F.lit(0).alias("_side"), F.col("_right.captured_at").alias("_tie"),
-        F.lit(None).cast(kind).alias("_left"), "_right",
-    ).unionByName(lefts.withColumn("_right", F.lit(None).cast(kind)))
-    near = F.when(F.col("_side") == 0, F.struct(F.col(f).alias("at"), F.col("_right").alias("r")))
-    block = F.floor(F.col(f) * 1000)
-    order = [f, "_side", "_tie"]
-    below = running_before(rows, keys, order, block, {"_lo": ("last", near)})
-    both = running_before(below, keys, order, block, {"_hi": ("last", near)}, reverse=True)
+        F.min("captured_at").alias("_tie"))
+    near = F.struct(F.col(f).alias("at"), F.col("_tie").alias("t"))
+    lefts = left.filter(F.col(f).isNotNull())
+    rows = rights.select(*keys, f, F.lit(0).alias("_side"), near.alias("_near")).unionByName(
+        lefts.select(*keys, f).distinct().withColumn("_side", F.lit(1)),
+        allowMissingColumns=True)
+    both = running_before(rows, keys, [f, "_side"], {
+        "_lo": ("last", F.col("_near")), "_hi": ("next", F.col("_near"))})
     both = both.filter("_side = 1")
     d_lo, d_hi = F.abs(F.col(f) - F.col("_lo.at")), F.abs(F.col(f) - F.col("_hi.at"))
     lower = F.col("_hi").isNull() | (d_lo < d_hi) | (
-        (d_lo == d_hi) & (F.col("_lo.r.captured_at") <= F.col("_hi.r.captured_at")))
+        (d_lo == d_hi) & (F.col("_lo.t") <= F.col("_hi.t")))
     chosen = F.when(F.col("_lo").isNotNull() & lower, F.col("_lo")).otherwise(F.col("_hi"))
-    out = both.withColumn("_c", chosen).filter(F.abs(F.col(f) - F.col("_c.at")) <= tolerance)
+    pairs = both.withColumn("_c", chosen).filter(
+        F.abs(F.col(f) - F.col("_c.at")) <= tolerance).select(
+        *keys, f, F.col("_c.at").alias("_right_f"), F.col("_c.t").alias("_right_t"))
+    chosen_right = right.groupBy(*keys, F.col(f).alias("_right_f"),
+                                 F.col("captured_at").alias("_right_t")).agg(
+        F.min(body).alias("_r"))
+    out = lefts.select(*keys, f, body.alias("_l")).join(pairs, [*keys, f]).join(
+        chosen_right, [*keys, "_right_f", "_right_t"])
     return out.select(
-        *keys, F.col("_left.captured_at").alias("left_at"),
-        F.col("_c.r.captured_at").alias("right_at"),
-        F.abs(F.col(f) - F.col("_c.at")).alias("progress_distance"),
-        cosine(F.col("_left.result_vector"), F.col("_c.r.result_vector"))
-        .alias("vector_similarity"),
-        jaccard(F.col("_left.reporting_units"), F.col("_c.r.reporting_units"))
+        *keys, F.col("_l.captured_at").alias("left_at"), F.col("_right_t").alias("right_at"),
+        F.abs(F.col(f) - F.col("_right_f")).alias("progress_distance"),
+        cosine(F.col("_l.result_vector"), F.col("_r.result_vector")).alias("vector_similarity"),
+        jaccard(F.col("_l.reporting_units"), F.col("_r.reporting_units"))
         .alias("reporting_unit_jaccard"),
-        jaccard(F.col("_left.vote_modes"), F.col("_c.r.vote_modes")).alias("vote_mode_jaccard"))
+        jaccard(F.col("_l.vote_modes"), F.col("_r.vote_modes")).alias("vote_mode_jaccard"))
 
 
 def summarize_overlap(pairs: DataFrame, keys: list[str], mirror: float = 0.995,

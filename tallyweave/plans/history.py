@@ -242,7 +242,7 @@ SELECT user_id, event_id, coalesce(tm < latest, false) AS refused FROM w
 def out_of_order_checks(spark, sf_dir):
     rows = _source_checks(spark, sf_dir).withColumn(
         "arrival", F.col("k") * 1_000_000_000 + F.col("event_id"))
-    out = history.out_of_order(rows, ["user_id"], "at", "arrival", block=10_000_000_000)
+    out = history.out_of_order(rows, ["user_id"], "at", "arrival")
     return out.select("user_id", "event_id", "refused")
 
 
@@ -354,7 +354,7 @@ def refresh_evidence(spark, sf_dir):
     before = F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("d"),
                       F.col("o_orderstatus").alias("c"))
     samples = running_before(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                             F.date_trunc("year", "o_orderdate"), {"_old": ("last", before)})
+                             {"_old": ("last", before)})
     samples = samples.filter("_old is not null")
     votes = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(
         F.sum(F.col("l_quantity").cast("long")).alias("votes"))

@@ -1,9 +1,10 @@
-"""Session settings, checkpointing and size-checked broadcast shared by every operator."""
+"""Session settings, checkpointing and plan helpers shared by every operator."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,15 +80,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after counting that the table stays under ``max_rows``.
+def write_once(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it from there.
 
-    The count stops at ``max_rows + 1`` rows. A larger table keeps a shuffled join, where
-    adaptive execution splits skewed partitions.
+    Its rows are computed once however often they are used, later plans start at the table, and
+    values such as partition numbers stay as they are when executors are lost.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bind(df: DataFrame, **values: Column) -> DataFrame:

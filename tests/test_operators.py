@@ -50,23 +50,51 @@ def test_digest_ignores_order_and_partitions_but_not_rows(spark):
     assert O.same_content(df, df.repartition(3)) and not O.same_content(df, df.limit(999))
 
 
-@pytest.mark.parametrize("reverse", [False, True])
-def test_sliced_windows_equal_plain_windows(spark, reverse):
+@pytest.fixture
+def many_parts(spark):
+    """Small inputs keep one part per shuffle partition instead of being coalesced to one."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, "true")
+
+
+@pytest.mark.parametrize("ties", [1, 50])
+def test_running_values_equal_plain_windows(spark, many_parts, ties):
     rnd = random.Random(3)
-    rows = [(rnd.choice(["hot", "hot", "a", None]), i, rnd.choice([None, rnd.randint(0, 99)]))
-            for i in range(2000)]
-    df = spark.createDataFrame(rows, "k string, t int, v int")
-    got = running_before(df, ["k"], ["t"], F.floor(F.col("t") / 50), {
-        "last": ("last", F.col("v")), "top": ("max", F.col("v")), "total": ("sum", F.col("v"))},
-        reverse=reverse)
-    w = Window.partitionBy("k").orderBy(F.col("t").desc() if reverse else F.col("t")).rowsBetween(
+    rows = [(rnd.choice(["hot", "hot", "hot", "a", None]), i // ties, i,
+             rnd.choice([None, rnd.randint(0, 99)])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, t int, u int, v int")
+    v = F.col("v")
+    got = running_before(df, ["k"], ["t", "u"], {
+        "last": ("last", v), "top": ("max", v), "low": ("min", v), "total": ("sum", v),
+        "next": ("next", v), "rest": ("max_after", v)})
+    rows_of = lambda c: Window.partitionBy("k").orderBy(c).rowsBetween(
         Window.unboundedPreceding, -1)
-    want = df.select("k", "t", "v", F.last("v", ignorenulls=True).over(w).alias("last"),
-                     F.max("v").over(w).alias("top"),
-                     F.coalesce(F.sum("v").over(w), F.lit(0)).alias("total"))
+    w, b = rows_of(F.col("u").asc()), rows_of(F.col("u").desc())
+    want = df.select("*", F.last("v", ignorenulls=True).over(w).alias("last"),
+                     F.max("v").over(w).alias("top"), F.min("v").over(w).alias("low"),
+                     F.coalesce(F.sum("v").over(w), F.lit(0)).alias("total"),
+                     F.last("v", ignorenulls=True).over(b).alias("next"),
+                     F.max("v").over(b).alias("rest"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_one_hot_key_and_instant_is_split(spark, many_parts):
+    df = spark.range(100_000).select(F.lit("j").alias("k"), F.lit(1.0).alias("f"), "id")
+    got = running_before(df, ["k"], ["f"], {"n": ("sum", F.lit(1))})
+    counts = got.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()
+    assert tuple(counts) == (0, 99_999, 100_000)
+    laid = spark.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0])
+    parts = [r["count"] for r in laid.groupBy("_part").count().collect()]
+    assert len(parts) > 4 and max(parts) < 50_000
+
+
+def test_running_values_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "k string, t int, v int")
+    assert running_before(df, ["k"], ["t"], {"x": ("last", F.col("v"))}).count() == 0
+
+
 def test_count_since_last(spark):
     df = spark.createDataFrame([("a", 1, "q"), ("a", 2, "r"), ("a", 3, "q"), ("a", 4, "q"),
                                 ("b", 1, "q"), ("c", 1, "r")], "k string, t int, e string")
