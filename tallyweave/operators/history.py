@@ -67,7 +67,8 @@ def out_of_order(observations: DataFrame, keys: list[str], at: str, arrival: str
 def fold_ledger(observations: DataFrame, keys: list[str], at: str, arrival: str) -> DataFrame:
     """Verification state per source from accepted observations.
 
-    One failure never withdraws an earlier verification; reachability follows the newest check.
+    One failure never withdraws an earlier verification; reachability follows the newest check,
+    of equal times the one that arrived last (``last_arrival``).
     """
     newest = F.struct(at, arrival)
     ok = F.col("verified")
@@ -76,6 +77,7 @@ def fold_ledger(observations: DataFrame, keys: list[str], at: str, arrival: str)
         F.min(F.when(ok, F.col(at))).alias("first_verified_at"),
         F.max(F.when(ok, F.col(at))).alias("last_verified_at"),
         F.max(at).alias("last_checked_at"),
+        F.max(newest)[arrival].alias("last_arrival"),
         F.max_by(ok, newest).alias("currently_reachable"),
         F.max_by(F.when(ok, F.lit("")).otherwise(F.col("failure_class")), newest)
         .alias("last_failure_class"),
@@ -84,12 +86,13 @@ def fold_ledger(observations: DataFrame, keys: list[str], at: str, arrival: str)
 
 def merge_ledger(ledger: DataFrame, update: DataFrame, keys: list[str]) -> DataFrame:
     """Combine a stored ledger with the fold of newer observations (used per micro-batch)."""
-    newest = F.col("last_checked_at")
+    newest = F.struct("last_checked_at", "last_arrival")
     return ledger.unionByName(update).groupBy(*keys).agg(
         F.bool_or("ever_verified").alias("ever_verified"),
         F.min("first_verified_at").alias("first_verified_at"),
         F.max("last_verified_at").alias("last_verified_at"),
         F.max("last_checked_at").alias("last_checked_at"),
+        F.max(newest)["last_arrival"].alias("last_arrival"),
         F.max_by("currently_reachable", newest).alias("currently_reachable"),
         F.max_by("last_failure_class", newest).alias("last_failure_class"),
     )

@@ -228,7 +228,8 @@ SELECT user_id, bool_or(ok) AS ever_verified, min(tm) FILTER (ok) AS first_verif
 FROM e GROUP BY user_id
 """)
 def verification_ledger(spark, sf_dir):
-    return history.fold_ledger(_source_checks(spark, sf_dir), ["user_id"], "at", "event_id")
+    return history.fold_ledger(_source_checks(spark, sf_dir), ["user_id"], "at", "event_id").drop(
+        "last_arrival")
 
 
 @query("out_of_order_checks", """

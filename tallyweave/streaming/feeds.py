@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyweave.operators import history, observations as O
+from tallyweave.session import write_once
 
 FACT_COLUMNS = ["source_id", "config", "captured_at", "sha256", *O.CAPTURE_KEY, "votes"]
 
@@ -22,10 +23,34 @@ def capture_stream(spark: SparkSession, path: str, schema: T.StructType,
             .parquet(path))
 
 
-def ingest_once(captures: DataFrame, at: str = "captured_at", late: str = "1 day",
-                keys: tuple[str, ...] = ("source_id", "sha256")) -> DataFrame:
-    """Each source's unchanged bytes pass once within the watermark."""
-    return captures.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
+def ingest_batch(batch: DataFrame, batch_id: int, root: str, at: str = "captured_at",
+                 keys: tuple[str, ...] = ("source_id", "sha256")) -> None:
+    """Land each source's bytes once, whatever their age or lateness.
+
+    The landed table itself is the memory: a batch keeps the first capture of each source and
+    digest and drops those that an earlier batch landed. A repeated batch replaces its folder.
+    """
+    names = list(keys)
+    body = F.struct(at, *[c for c in batch.columns if c not in (at, *names)])
+    fresh = batch.groupBy(*names).agg(F.min(body).alias("_first")).select(*names, "_first.*")
+    landed = _table(batch.sparkSession, f"{root}/landed", below=batch_id)
+    if landed is not None:
+        seen = landed.select(*[F.col(k).alias(f"_k_{k}") for k in names])
+        same = F.lit(True)
+        for k in names:
+            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        fresh = fresh.join(seen, same, "left_anti")
+    fresh.write.mode("overwrite").parquet(f"{root}/landed/batch={batch_id:09d}")
+
+
+def _table(spark: SparkSession, folder: str, below: int | None = None) -> DataFrame | None:
+    """Rows of a table written batch by batch, up to a batch; null before the first one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    rows = spark.read.parquet(folder)
+    return rows if below is None else rows.filter(F.col("batch") < below)
 
 
 def run_available(writer) -> None:
@@ -126,44 +151,63 @@ def stateful_verdicts(facts: DataFrame, cumulative: bool = True) -> DataFrame:
         outputMode="Append", timeMode="None")
 
 
+MAX_ROUNDS = 1_000_000  # Batch folders are numbered batch * MAX_ROUNDS + round.
+
+
 def accept_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str, *,
                  cumulative: bool = True) -> None:
     """One micro-batch of captures against the accepted baseline table.
 
-    Works with joins and aggregates only, so a capture of any size is spread over tasks. The
-    batch must hold at most one capture per source (one landed file per source and trigger).
-    Every batch writes its own folder, so repeating a batch after a failure replaces its output.
+    Works with joins and aggregates only, so a capture of any size is spread over tasks. Several
+    captures of a source in the batch are judged in rounds, by time and digest, each against
+    what its source had accepted before it; a new configuration starts a new baseline. Every
+    round writes its own folder, so repeating a batch after a failure replaces its output.
     """
     facts = batch.select(*FACT_COLUMNS)
-    before = accepted_baseline(spark, root, below=batch_id)
+    # A window over the captures of one source in one trigger, not over their rows.
+    order = Window.partitionBy("source_id").orderBy("captured_at", "sha256", "config")
+    marks = facts.select("source_id", "captured_at", "sha256", "config").distinct()
+    marks = write_once(marks.withColumn("_round", F.row_number().over(order)))
+    rounds = marks.agg(F.max("_round")).first()[0] or 0
+    if rounds >= MAX_ROUNDS:
+        raise ValueError("too many captures of one source in a batch")
+    for number in range(1, rounds + 1):
+        mark = marks.filter(F.col("_round") == number)
+        same = ["source_id", "captured_at", "sha256", "config"]
+        cond = F.lit(True)
+        for c in same:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        chosen = facts.join(mark.select(*[F.col(c).alias(f"_k_{c}") for c in same]), cond,
+                            "left_semi")
+        _accept_round(spark, chosen, mark.drop("_round"), batch_id * MAX_ROUNDS + number, root,
+                      cumulative)
+
+
+def _accept_round(spark: SparkSession, facts: DataFrame, marks: DataFrame, step: int, root: str,
+                  cumulative: bool) -> None:
+    """Judge at most one capture per source and add it to the attempts and accepted tables."""
+    before = accepted_baseline(spark, root, below=step)
     if before is None:
         before = facts.limit(0)
-    config = facts.groupBy("source_id").agg(F.max("config").alias("_config"))
-    old = before.join(config, "source_id").filter(F.col("config") == F.col("_config")).drop(
-        "_config")
+    config = marks.select("source_id", F.col("config").alias("_config"))
+    old = before.join(config, "source_id").filter(F.col("config").eqNullSafe(F.col("_config")))
     summary = O.capture_warnings(O.change_summary(
-        old, facts, cumulative=cumulative, scope=["source_id"]))
-    marks = facts.groupBy("source_id").agg(
-        F.max("captured_at").alias("captured_at"), F.max("sha256").alias("sha256"),
-        F.max("config").alias("config"))
+        old.drop("_config"), facts, cumulative=cumulative, scope=["source_id"]))
     verdicts = marks.join(summary, "source_id").withColumn(
         "warnings", F.array_join("warnings", "|"))
-    verdicts.write.mode("overwrite").parquet(f"{root}/attempts/batch={batch_id:09d}")
-    ok = spark.read.parquet(f"{root}/attempts/batch={batch_id:09d}").filter("status = 'ok'")
+    verdicts.write.mode("overwrite").parquet(f"{root}/attempts/batch={step:015d}")
+    ok = spark.read.schema(verdicts.schema).parquet(
+        f"{root}/attempts/batch={step:015d}").filter("status = 'ok'")
     accepted = facts.join(ok.select("source_id"), "source_id", "left_semi")
-    accepted.write.mode("overwrite").parquet(f"{root}/accepted/batch={batch_id:09d}")
+    accepted.write.mode("overwrite").parquet(f"{root}/accepted/batch={step:015d}")
 
 
 def accepted_baseline(spark: SparkSession, root: str, below: int | None = None
                       ) -> DataFrame | None:
     """Rows of each source's last accepted capture (T5); null before the first batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/accepted")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    rows = _table(spark, f"{root}/accepted", below)
+    if rows is None:
         return None
-    rows = spark.read.parquet(f"{root}/accepted")
-    if below is not None:
-        rows = rows.filter(F.col("batch") < below)
     last = rows.groupBy("source_id").agg(F.max("batch").alias("_last"))
     return rows.join(last, "source_id").filter(F.col("batch") == F.col("_last")).select(
         *FACT_COLUMNS)
@@ -194,10 +238,8 @@ def ledger_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
     before it, so a repeated batch gives the same version again.
     """
     current = None
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/ledger")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        versions = spark.read.parquet(f"{root}/ledger").filter(F.col("batch") < batch_id)
+    versions = _table(spark, f"{root}/ledger", below=batch_id)
+    if versions is not None:
         newest = versions.agg(F.max("batch")).first()[0]
         if newest is not None:
             current = versions.filter(F.col("batch") == newest).drop("batch")

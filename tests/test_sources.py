@@ -141,6 +141,44 @@ def test_baseline_batches(spark, tmp_path):
     assert status.status == "ok" and status.failures == 0
 
 
+def test_captures_of_one_batch_are_judged_in_turn(spark, tmp_path):
+    root = str(tmp_path / "root")
+    days = captures(spark)
+    feeds.accept_batch(spark, days[0].unionByName(days[2]).unionByName(days[1]), 0, root)
+    feeds.accept_batch(spark, days[4].unionByName(days[3]), 1, root)
+    log = spark.read.parquet(f"{root}/attempts").orderBy("batch").collect()
+    assert [(r.sha256, r.status, r.warnings) for r in log] == WANT
+    feeds.accept_batch(spark, days[0].limit(0), 2, root)
+    assert [r.votes for r in feeds.accepted_baseline(spark, root).collect()] == [2]
+
+
+def test_late_and_repeated_bytes_land_once(spark, tmp_path):
+    root = str(tmp_path / "root")
+    day = lambda n: dt.datetime(2026, 11, n)
+    cols = "source_id string, sha256 string, captured_at timestamp, path string"
+    feeds.ingest_batch(spark.createDataFrame(
+        [("s", "h2", day(20), "p"), ("s", "h2", day(21), "q"), (None, "h2", day(21), "r")], cols),
+        0, root)
+    late = spark.createDataFrame([("s", "h1", day(1), "a"), ("s", "h2", day(28), "b"),
+                                  (None, "h2", day(1), "c")], cols)
+    for _ in range(2):
+        feeds.ingest_batch(late, 1, root)
+    got = {(r.source_id, r.sha256, r.path) for r in spark.read.parquet(f"{root}/landed").collect()}
+    assert got == {("s", "h2", "p"), (None, "h2", "r"), ("s", "h1", "a")}
+
+
+def test_equal_times_in_the_ledger_follow_arrival(spark, tmp_path):
+    root = str(tmp_path / "root")
+    cols = "k string, at long, arrival long, verified boolean, failure_class string"
+    feeds.ledger_batch(spark, spark.createDataFrame([("s", 5, 1, True, "")], cols), 0, root, ["k"],
+                       "at", "arrival")
+    feeds.ledger_batch(spark, spark.createDataFrame(
+        [("s", 5, 2, False, "x"), ("s", 4, 3, True, "")], cols), 1, root, ["k"], "at", "arrival")
+    row = spark.read.parquet(f"{root}/ledger").filter("batch = 1").first()
+    assert not row.currently_reachable and row.last_failure_class == "x" and row.ever_verified
+    assert spark.read.parquet(f"{root}/refused").filter("batch = 1").count() == 1
+
+
 def test_baseline_state_equals_batches(spark, tmp_path):
     from tallyweave.plans.streams import ROCKS
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
