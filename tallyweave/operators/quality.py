@@ -135,6 +135,33 @@ def wide_payload_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     })
 
 
+def json_payload_violations(df: DataFrame, body: str, keys: list[str]) -> DataFrame:
+    """Strict reading of unit, contest, choice documents (V4), one row per document and rule.
+
+    A body that is null, no JSON or of another shape has an unsupported schema.
+    """
+    from tallyweave.sources.results import NESTED_JSON, whole_votes
+
+    def each(items: str | Column, test) -> Column:
+        return F.coalesce(F.exists(items, test), F.lit(False))
+
+    units = F.col("_d.reporting_units")
+    contests = F.flatten(F.transform(F.filter(units, lambda u: u.contests.isNotNull()),
+                                     lambda u: u.contests))
+    rows = bind(df, _d=F.from_json(body, NESTED_JSON))
+    rows = bind(rows, _contests=contests)
+    choices = F.flatten(F.transform(F.filter("_contests", lambda c: c.choices.isNotNull()),
+                                    lambda c: c.choices))
+    rows = bind(rows, _choices=choices)
+    return violations(rows, keys, {
+        "unsupported_schema": units.isNull(),
+        "invalid_unit": each(units, lambda u: u.contests.isNull()),
+        "invalid_contest": each("_contests", lambda c: c.choices.isNull()),
+        "invalid_choice": each("_choices", lambda h: h.isNull()),
+        "votes_not_integer": each("_choices", lambda h: h.isNotNull() & ~whole_votes(h.votes)),
+    })
+
+
 def capture_rules(body: str, required_text: Column) -> dict[str, Column]:
     """A capture must carry its marker text (V5)."""
     return {"marker_absent": ~F.col(body).contains(required_text)}

@@ -253,6 +253,28 @@ def payload_violations(spark, sf_dir):
     return Q.wide_payload_violations(raw, ["o_orderkey"])
 
 
+@query("json_payload_violations", """
+WITH o AS (SELECT o_orderkey, o_orderkey % 9 AS k FROM orders)
+SELECT o_orderkey, 'unsupported_schema' AS rule_id FROM o WHERE k IN (0, 1)
+UNION ALL SELECT o_orderkey, 'invalid_unit' FROM o WHERE k = 2
+UNION ALL SELECT o_orderkey, 'invalid_contest' FROM o WHERE k = 3
+UNION ALL SELECT o_orderkey, 'votes_not_integer' FROM o WHERE k BETWEEN 4 AND 6
+""")
+def json_payload_violations(spark, sf_dir):
+    """One document per order; its key decides which part of it is malformed."""
+    k = F.col("o_orderkey") % 9
+    votes = (F.when(k == 4, ',"votes":1.5').when(k == 5, ',"votes":true').when(k == 6, "")
+             .when(k == 7, ',"votes":" 12 "').otherwise(F.concat(F.lit(',"votes":'), "o_orderkey")))
+    contest = F.when(k == 3, '{"name":"g"}').otherwise(F.concat(
+        F.lit('{"name":"g","choices":[{"name":"a"'), votes, F.lit("}]}")))
+    unit = F.when(k == 2, '{"id":"u"}').otherwise(
+        F.concat(F.lit('{"id":"u","contests":['), contest, F.lit("]}")))
+    body = (F.when(k == 0, '{"reporting_units":{}}').when(k == 1, "[oops")
+            .otherwise(F.concat(F.lit('{"reporting_units":['), unit, F.lit("]}"))))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
+    return Q.json_payload_violations(rows, "body", ["o_orderkey"])
+
+
 @query("manifest_violations", """
 SELECT CAST(c_custkey % 1000 AS VARCHAR) AS source_id, 'staleness_below_interval' AS rule_id FROM customer WHERE c_nationkey = 1
 UNION ALL SELECT CAST(c_custkey % 1000 AS VARCHAR), 'enabled_without_review' FROM customer WHERE c_acctbal > 0 AND c_nationkey % 2 = 0

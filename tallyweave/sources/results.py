@@ -162,15 +162,19 @@ def wide_results(df: DataFrame, ctx: Context, rules: DataFrame | None = None) ->
 
 
 _CHOICE = "struct<name:string,party:string,order:string,votes:string,mode:string>"
-_NESTED = ("struct<reporting_units:array<struct<id:string,name:string,contests:array<struct<"
-           f"name:string,choices:array<{_CHOICE}>>>>>>")
+NESTED_JSON = ("struct<reporting_units:array<struct<id:string,name:string,contests:array<struct<"
+               f"name:string,choices:array<{_CHOICE}>>>>>>")
 
 
 def nested_json(df: DataFrame, body: str, ctx: Context, unit_type: str = "precinct",
                 rules: DataFrame | None = None) -> DataFrame:
-    """``reporting_units[].contests[].choices[]`` to facts."""
+    """``reporting_units[].contests[].choices[]`` to facts.
+
+    A choice without an explicit whole number of votes gives no fact, never a zero;
+    ``quality.json_payload_violations`` lists it.
+    """
     rows = df.select(*[v.alias(k) for k, v in ctx.columns().items()],
-                     F.from_json(body, _NESTED).alias("_d"))
+                     F.from_json(body, NESTED_JSON).alias("_d"))
     units = rows.select(*CONTEXT, F.explode("_d.reporting_units").alias("u"))
     units = units.select(*CONTEXT, N.first_present(F.col("u.id"), F.col("u.name"))
                          .alias("unit_key"), F.col("u.name").alias("_n"),
@@ -182,12 +186,18 @@ def nested_json(df: DataFrame, body: str, ctx: Context, unit_type: str = "precin
         *CONTEXT, "unit_key", "unit_name", "contest_name",
         N.present(F.col("h.name")).alias("choice_name"), N.present(F.col("h.party")).alias("party"),
         F.col("h.order").try_cast("int").alias("source_order"),
-        F.coalesce(N.present(F.col("h.votes")).try_cast("long"), F.lit(0)).alias("votes"),
+        F.when(whole_votes(F.col("h.votes")), F.trim("h.votes").try_cast("long"))
+        .alias("votes"),
         F.coalesce(N.present(F.col("h.mode")), F.lit("total")).alias("raw_vote_mode"),
-    ).filter("choice_name is not null")
+    ).filter("choice_name is not null and votes is not null")
     return _facts(long, unit_type, rules=rules)
 
 
+def whole_votes(votes: Column) -> Column:
+    """Is the JSON text of a vote count an explicit whole number? False for null, true, 1.5."""
+    return F.coalesce(F.trim(votes).rlike(r"^-?[0-9]+$"), F.lit(False))
+
+
 _XML_FIELDS = ["Id", "Name", "Party", "Order", "Mode", "Votes"]
 _TOTAL = "struct<mode:string,_mode:string,votes:string,_votes:string>"
 _XCHOICE = ("struct<name:string,_name:string,party:string,_party:string,order:string,"

@@ -141,6 +141,26 @@ def test_baseline_batches(spark, tmp_path):
     assert status.status == "ok" and status.failures == 0
 
 
+def test_json_votes_are_never_imputed(spark):
+    from tallyweave.operators.quality import json_payload_violations
+    doc = '{"reporting_units":[{"id":"u","contests":[{"name":"g","choices":[%s]}]}]}'
+    choices = ['{"name":"a","votes":7}', '{"name":"b"}', '{"name":"c","votes":1.5}',
+               '{"name":"d","votes":true}', '{"name":"e","votes":null}', '{"name":"f","votes":"-3"}']
+    ctx = R.Context.of("2026", "mi-x", "src", "2026-11-03 00:00:00")
+    one = spark.createDataFrame([(doc % ",".join(choices),)], "body string")
+    assert {(r.choice_name, r.votes) for r in R.nested_json(one, "body", ctx).collect()} == {
+        ("a", 7), ("f", -3)}
+    bodies = [(n, doc % c) for n, c in enumerate(choices)] + [
+        (10, None), (11, ""), (12, "[]"), (13, '{"reporting_units":[{"contests":{}}]}'),
+        (14, '{"reporting_units":[]}'), (15, doc % "null")]
+    got = json_payload_violations(spark.createDataFrame(bodies, "n int, body string"), "body",
+                                  ["n"])
+    assert {(r.n, r.rule_id) for r in got.collect()} == {
+        *[(n, "votes_not_integer") for n in (1, 2, 3, 4)],
+        *[(n, "unsupported_schema") for n in (10, 11, 12)], (13, "invalid_unit"),
+        (15, "invalid_choice")}
+
+
 def test_captures_of_one_batch_are_judged_in_turn(spark, tmp_path):
     root = str(tmp_path / "root")
     days = captures(spark)
