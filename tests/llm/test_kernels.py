@@ -114,6 +114,19 @@ def test_embedding_is_stable_and_measures_edits():
     assert not together[2].any()
 
 
+@pytest.mark.parametrize("held", [False, True])
+def test_segments_are_walked_to_their_end(held):
+    rng = random.Random(8)
+    size, own = fingerprints.SEGMENT, fingerprints.Embedding()
+    if held:  # walks that would never move of themselves
+        own.moves[:] = 0
+    texts = ["".join(rng.choices("abcdefghij ", k=size + 40)) for _ in range(20)]
+    edits = [t[:size - 100] + "".join(rng.choices("klmnopqrst", k=100)) + t[size:] for t in texts]
+    prints = own(texts + edits)
+    share = (prints[:20] != prints[20:]).mean()
+    assert 0.005 < share < 0.03  # 100 of 8,192 characters are 0.012
+
+
 @pytest.mark.parametrize("step", [1, 50, 1_000_000])
 def test_part_search_equals_scoring_all(step, monkeypatch):
     monkeypatch.setattr(search, "STEP", step)
