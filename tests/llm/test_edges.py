@@ -133,6 +133,28 @@ def test_search_equals_scoring_every_row(docs):
         assert all(abs(h[2] + s[0]) < 1e-8 for h, s in zip(have, want))
 
 
+def test_search_by_all_terms_equals_scoring_every_row(spark):
+    rng, some = random.Random(9), [f"w{k}" for k in range(90)]
+    texts = [" ".join(rng.choices(some, k=rng.choice([5, 20, 200]))) for _ in range(60)]
+    texts[30], texts[40] = texts[0], "only here"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = [Counter(search.terms(t)) for t in texts]
+    df, size = Counter(w for c in own for w in c), [sum(c.values()) for c in own]
+    idf = {w: math.log(1 + (60 - k + .5) / (k + .5)) for w, k in df.items()}
+    got = {}
+    for r in search.more_like(docs, docs.where("doc_id % 10 = 0"), keep=None).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    for q in range(0, 60, 10):
+        want = sorted((-round(sum(
+            idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (.25 + .75 * n * 60 / sum(size)))
+            for w in own[q] if c[w]), 9), d) for d, (c, n) in enumerate(zip(own, size)))
+        want = [s for s in want if s[0] < 0][:search.TOP]
+        have = sorted(got[q])
+        assert [s[1] for s in want] == [h[1] for h in have]
+        assert all(abs(h[2] + s[0]) < 1e-8 for h, s in zip(have, want))
+    assert max(len(own[q]) for q in range(0, 60, 10)) > search.LONG
+
+
 def test_packing_is_gapless(docs):
     got = packing.pack(docs, TOKENIZER).collect()
     by = {}
