@@ -16,6 +16,7 @@ from tallyweave.llm import (
     jaccard,
     langid,
     packing,
+    prefix_bpe,
     search,
     toxicity,
     urls,
@@ -106,3 +107,10 @@ def op7_top_k_search(spark, sf_dir):
     """The ten documents most like every document whose id is divisible by 20, by all its terms."""
     docs = table(spark, sf_dir, "documents")
     return search.more_like(docs, docs.where(F.col("doc_id") % 20 == 0), keep=None)
+
+
+@query
+def op11_prefix_bpe(spark, sf_dir):
+    """Digests of the byte-level BPE ids of every document and of the text they decode to."""
+    return prefix_bpe.digest_documents(table(spark, sf_dir, "documents"),
+                                       public_tokenizers.path("byte_bpe_50k.json"))
