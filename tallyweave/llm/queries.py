@@ -16,6 +16,7 @@ from tallyweave.llm import (
     jaccard,
     langid,
     packing,
+    periodic,
     prefix_bpe,
     search,
     toxicity,
@@ -114,3 +115,9 @@ def op11_prefix_bpe(spark, sf_dir):
     """Digests of the byte-level BPE ids of every document and of the text they decode to."""
     return prefix_bpe.digest_documents(table(spark, sf_dir, "documents"),
                                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every document, some with planted ones, and what collapses them."""
+    return periodic.digest_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
