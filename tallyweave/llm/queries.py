@@ -18,6 +18,7 @@ from tallyweave.llm import (
     packing,
     periodic,
     prefix_bpe,
+    ranked,
     search,
     toxicity,
     urls,
@@ -121,3 +122,39 @@ def op11_prefix_bpe(spark, sf_dir):
 def op12_periodic_runs(spark, sf_dir):
     """Runs of repeated words in every document, some with planted ones, and what collapses them."""
     return periodic.digest_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    """The 50 documents that score best for every item of the benchmark."""
+    return ranked.rank_documents(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH fixed AS (SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term,
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS capitals, 'abcdefghijklmnopqrstuvwxyz' AS small),
+docs AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), capitals, small), term) AS terms FROM documents, fixed),
+items AS (
+  SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), capitals, small), term)) AS terms FROM benchmark, fixed),
+asked AS (SELECT i, item_id, unnest(terms) AS t FROM items),
+sums AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms
+         FROM docs WHERE len(terms) > 0),
+held AS (
+  SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(terms) AS t FROM docs)
+  WHERE t IN (SELECT t FROM asked) GROUP BY d, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM held GROUP BY t), sums),
+scored AS (
+  SELECT i, item_id, doc_id, d, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (
+    100 - 50 + (50 * len(terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (t) JOIN weights USING (t) JOIN docs USING (d), sums
+  GROUP BY i, item_id, doc_id, d)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 50
+"""
