@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.plans.registry import query
 from tallyweave.plans.views import table
+from tallyweave.sources import intake as I
 from tallyweave.sources import results as R
 
 _L_SQL = """
@@ -364,3 +365,135 @@ def statewide_tables(spark, sf_dir):
     return good.select("k", F.lit("ok").alias("rule_id"), "candidate", "total").unionByName(
         bad.select("k", "rule_id", F.lit(None).cast("string").alias("candidate"),
                    F.lit(None).cast("long").alias("total")))
+
+
+#: Orders of the three headers; the columns of a capture follow the one its order key picks.
+_HEADERS = [["Precinct", "Office", "Candidate", "Order", "Mail", "AV"],
+            ["AV ", " candidate", "RACE", "mail", "Polling_Place", "position"],
+            ["party", "Choice", "Votes", "Absentee", "Contest_Name", "reporting_unit"]]
+
+
+def _csv_captures(spark, sf_dir):
+    """One CSV body per order in one of three column orders, with quoted fields of commas, quotes
+    and line ends; lines of parts divisible by 5 have a field too many, by 7 one too few."""
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    choice = quoted(F.concat(F.col("choice"), F.lit(', ""jr""\nof '), F.col("n")))
+    v, n = F.col("v").cast("string"), F.col("n").cast("string")
+    av = F.when(F.col("ls") == "F", quoted(F.format_number(F.col("v") + 1000, 0))).otherwise("")
+    unit, race = quoted(F.col("unit")), F.col("race")
+    orders = [[unit, race, choice, n, v, av], [av, choice, race, v, unit, n],
+              [F.lit(""), choice, v, av, race, unit]]
+    own = F.col("k") % 3
+    line = F.lit(None).cast("string")
+    for i, columns in enumerate(orders):
+        part = F.regexp_extract("choice", r"(\d+)", 1).cast("long")
+        short = F.concat_ws(",", *columns[:-1])
+        full = F.concat_ws(",", *columns)
+        line = F.when(own == i, F.when(part % 5 == 0, F.concat(full, F.lit(",more"))).when(
+            part % 7 == 0, short).otherwise(full)).otherwise(line)
+    head = F.element_at(F.array(*[F.lit(",".join(h)) for h in _HEADERS]), (own + 1).cast("int"))
+    docs = _documents(spark, sf_dir, F.concat(line, F.lit("\r\n")),
+                      F.concat(F.lit("\ufeff"), head, F.lit("\n\n")), F.lit(""))
+    return docs.withColumn("body", F.col("body").cast("binary"))
+
+
+_CSV_SQL = f"""{_L_SQL},
+c AS (SELECT *, k % 3 AS h, CAST(regexp_extract(choice, '[0-9]+') AS BIGINT) AS part FROM l)
+"""
+
+
+@query("mixed_header_csv", f"""
+WITH {_CSV_SQL},
+w AS (SELECT *, part % 7 = 0 AS short, unnest([{{'m': 'mail', 'raw': 'mail', 'v': CASE WHEN h < 2 THEN v END}},
+        {{'m': 'absentee', 'raw': 'av', 'v': CASE WHEN h < 2 AND ls = 'F' THEN v + 1000 END}},
+        {{'m': 'absentee', 'raw': 'absentee', 'v': CASE WHEN h = 2 AND ls = 'F' THEN v + 1000 END}},
+        {{'m': 'total', 'raw': 'votes', 'v': CASE WHEN h = 2 THEN v END}}]) AS x FROM c WHERE part % 5 > 0)
+SELECT 'mi-x:' || unit AS reporting_unit_id, race AS contest_name, choice || ', "jr"' || chr(10) || 'of ' || CAST(n AS VARCHAR) AS choice_name,
+  CASE WHEN h = 0 OR (h = 1 AND NOT short) THEN n END AS source_order, x.m AS vote_mode, x.raw AS raw_vote_mode, x.v AS votes
+FROM w WHERE x.v IS NOT NULL AND NOT (short AND (h = 2 OR (h = 0 AND x.raw = 'av')))
+""")
+def mixed_header_csv(spark, sf_dir):
+    facts, _ = I.csv_results(_csv_captures(spark, sf_dir), "body", _plain(), ["k"])
+    return facts.select("reporting_unit_id", "contest_name", "choice_name", "source_order",
+                        "vote_mode", "raw_vote_mode", "votes")
+
+
+@query("ragged_csv_rows", f"""
+WITH {_CSV_SQL}
+SELECT k, CASE WHEN part % 5 = 0 THEN 'wide_row' ELSE 'narrow_row' END AS rule_id, CASE WHEN part % 5 = 0 THEN 7 ELSE 5 END AS n_fields,
+  6 AS n_columns, count(*) AS n_rows FROM c WHERE part % 5 = 0 OR part % 7 = 0 GROUP BY ALL
+""")
+def ragged_csv_rows(spark, sf_dir):
+    _, ragged = I.csv_results(_csv_captures(spark, sf_dir), "body", _plain(), ["k"])
+    return ragged.groupBy("k", "rule_id", "n_fields", "n_columns").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+def _judged(spark, sf_dir):
+    """Each order as a capture: JSON where the customer is divisible by 4, else CSV.
+
+    Orders divisible by 13 lack the marker, by 17 have a count that is no number, by 19 name each line
+    twice; lines of 5 units count below zero.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"),
+        F.col("l_quantity").cast("long").alias("v"))
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 4 == 0).alias("json"))
+    votes = F.when(F.col("k") % 17 == 0, "1.5").when(F.col("v") == 5, "-5").otherwise(
+        F.col("v").cast("string"))
+    csv = F.concat(F.lit("u,r,c"), F.col("n"), F.lit(","), votes, F.lit("\n"))
+    obj = F.concat(F.lit('{"name":"c'), F.col("n"), F.lit('","votes":'), votes, F.lit("},"))
+    line = F.when(F.col("json"), obj).otherwise(csv)
+    line = F.when(F.col("k") % 19 == 0, F.concat(line, line)).otherwise(line)
+    rows = o.join(li, "k", "left").select(
+        "k", "json", F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias(
+            "v"), F.coalesce(line, F.lit("")).alias("x")).alias("e"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda s: s.x), "")
+    docs = rows.groupBy("k", "json").agg(text.alias("t"))
+    mark = F.when(F.col("k") % 13 > 0, "official").otherwise("other")
+    body = F.when(F.col("json"), F.concat(
+        F.lit('{"mark":"'), mark, F.lit('","reporting_units":[{"name":"u","contests":[{"name":"r",'
+                                        '"choices":['),
+        F.regexp_replace("t", ",$", ""), F.lit("]}]}]}"))).otherwise(F.concat(
+            F.lit("precinct,race,candidate,total,"), mark, F.lit("\n"), F.col("t")))
+    return docs.select(F.concat(F.lit("s"), F.col("k")).alias("source_id"),
+                       F.when(F.col("json"), "json").otherwise("csv").alias("parser"),
+                       F.lit("official").alias("required_text"),
+                       body.cast("binary").alias("body"))
+
+
+def _judge_context():
+    return R.Context(F.lit("2026"), F.lit("us:mi:county:x"), F.col("source_id"),
+                     F.lit("2026-11-03 00:00:00").cast("timestamp"), F.lit("certified"),
+                     F.sha2("body", 256))
+
+
+_JUDGED_SQL = """
+o AS (SELECT o_orderkey AS k, o_custkey % 4 = 0 AS json FROM orders),
+l AS (SELECT k, json, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS v, k % 17 = 0 AS bad, CASE WHEN k % 19 = 0 THEN 2 ELSE 1 END AS c
+      FROM lineitem JOIN o ON l_orderkey = k),
+e AS (SELECT k, n, sum(c) AS c, sum(c) FILTER (v = 5) AS neg FROM l WHERE NOT bad GROUP BY ALL),
+f AS (SELECT k, 'votes_not_integer' AS rule_id, CASE WHEN any_value(json) THEN 1 ELSE sum(c) END AS findings FROM l WHERE bad GROUP BY k
+  UNION ALL SELECT k, 'marker_absent', 1 FROM o WHERE k % 13 = 0
+  UNION ALL SELECT k, 'no_rows', 1 FROM o WHERE k NOT IN (SELECT k FROM e)
+  UNION ALL SELECT k, 'duplicate_observation', count(*) FROM e WHERE c > 1 GROUP BY k
+  UNION ALL SELECT k, 'negative_votes', sum(neg) FROM e WHERE neg > 0 GROUP BY k)
+"""
+
+
+@query("capture_findings", f"""
+WITH {_JUDGED_SQL}
+SELECT 's' || CAST(k AS VARCHAR) AS source_id, rule_id, CAST(findings AS BIGINT) AS findings FROM f
+""")
+def capture_findings(spark, sf_dir):
+    return I.judge_captures(_judged(spark, sf_dir), _judge_context())[1]
+
+
+@query("accepted_captures", f"""
+WITH {_JUDGED_SQL}
+SELECT 's' || CAST(k AS VARCHAR) AS source_id, 'c' || CAST(n AS VARCHAR) AS choice_name, v AS votes FROM l WHERE k NOT IN (SELECT k FROM f)
+""")
+def accepted_captures(spark, sf_dir):
+    return I.judge_captures(_judged(spark, sf_dir), _judge_context())[0].select(
+        "source_id", "choice_name", "votes")
