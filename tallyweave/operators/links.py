@@ -13,6 +13,7 @@ from tallyweave.functions import classify as C
 from tallyweave.functions import html as H
 from tallyweave.functions import urls as U
 from tallyweave.functions.ids import words
+from tallyweave.functions.nesting import TAG, inner_html, numbered, with_elements
 from tallyweave.session import bind
 
 
@@ -365,24 +366,42 @@ _SOCIAL_OR_CODE = r"(?i)(facebook|twitter|youtube|instagram|googleapis|schema\.o
 
 def hidden_candidates(pages: DataFrame, state: Column, page_url: str = "url",
                       html: str = "html") -> DataFrame:
-    """Targets in row context, data attributes and scripts, one row per page and URL."""
+    """Targets of anchors in a unit's context, of URL attributes and in scripts.
+
+    An anchor's context is the nearest row, item, article, section or division around it, or else its
+    own text; it must hold a word of the state's units, if the state has any. Attributes count
+    whose name holds url or website. One row per page and URL.
+    """
     keep = [c for c in pages.columns if c != html]
     base = F.col(page_url)
     unit_words = F.from_json(F.lit(json.dumps(UNIT_WORDS)), "map<string,array<string>>")
     wanted = F.coalesce(F.element_at(unit_words, state), F.array().cast("array<string>"))
-    rows = F.concat(H.elements(F.col(html), "tr"), H.elements(F.col(html), "li"))
-    in_rows = (
-        pages.select(*keep, wanted.alias("_words"), F.explode(rows).alias("_row"))
-        .select(*keep, "_words", "_row", F.lower(H.text_of(F.col("_row"))).alias("_text"))
-        .filter((F.size("_words") == 0)
-                | F.exists("_words", lambda w: F.col("_text").contains(w)))
-        .select(*keep, F.explode(F.regexp_extract_all(
-            "_row", F.lit(r"(?is)<a\b[^>]*href\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1)))
-            .alias("raw"), F.lit("row_context").alias("basis"))
-    )
-    in_data = pages.select(*keep, F.explode(F.regexp_extract_all(
-        html, F.lit(r"(?is)[\s\"'][\w-]*(?:url|website)[\w-]*\s*=\s*[\"']([^\"']*)[\"']"),
-        F.lit(1))).alias("raw"), F.lit("data_attribute").alias("basis"))
+    cut = with_elements(pages.withColumn("_words", wanted), html,
+                        {"card": ["tr", "li", "article", "section", "div"]})
+
+    # Each context is read once, however many anchors it holds.
+    anchors = F.filter("_elements", lambda e: e["name"] == "a")
+    cut = bind(cut, _anchors=anchors)
+    own = F.transform("_anchors", lambda a: F.coalesce(a["card"], a["number"]))
+
+    def told(number: Column) -> Column:
+        text = F.lower(H.text_of(inner_html(numbered(number))))
+        return (F.size("_words") == 0) | F.exists("_words", lambda w: text.contains(w))
+
+    cut = bind(cut, _told=F.filter(F.array_distinct(own), told))
+    in_context = F.filter("_anchors", lambda a: F.array_contains(
+        "_told", F.coalesce(a["card"], a["number"])))
+    in_rows = cut.select(*keep, F.explode(F.transform(in_context, lambda a: H.attribute(
+        F.get("_pieces", a["start"]), "href"))).alias("raw"), F.lit("row_context").alias("basis"))
+    in_rows = in_rows.filter("raw is not null")
+    pair = (r"(?is)[\s\"'/][^\s\"'<>/=]*(?:url|website)[^\s\"'<>/=]*\s*=\s*"
+            r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+    tags = F.transform(F.filter("_pieces", lambda p: p.rlike(r"(?i)^<[a-z]")),
+                       lambda p: F.regexp_extract(p, rf"(?is)^{TAG}", 0))
+    pairs = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(pair), F.lit(0))))
+    in_data = cut.select(*keep, F.explode(F.transform(pairs, lambda p: F.concat(
+        *[F.regexp_extract(p, pair, i) for i in (1, 2, 3)]))).alias("raw"),
+        F.lit("data_attribute").alias("basis"))
     in_script = (
         pages.select(*keep, F.explode(H.elements(F.col(html), "script")).alias("_s"))
         .select(*keep, F.explode(F.regexp_extract_all(
@@ -453,6 +472,9 @@ def label_matches(texts: DataFrame, text_id: list[str], text: str, units: DataFr
                         .alias("unit_id"))
 
 
+#: A row of up to 1000 characters is no longer in raw text: references have up to 33 for one.
+LONGEST_ROW = 33_000
+# Hosts that are no authority's, words that name one, and endings of documents.
 SOCIAL_HOSTS = r"(^|\.)(facebook\.com|twitter\.com|x\.com|instagram\.com|youtube\.com)$"
 AUTHORITY_WORDS = (r"(?i)\b(elections?|clerk|registrar|board|county|parish|municipal|town|city)\b")
 DOCUMENT_PATH = r"(?i)\.(pdf|csv|xlsx?|docx?|zip|xml|json)$"
@@ -463,14 +485,13 @@ def directory_links(pages: DataFrame, units: DataFrame, election_year: int = 202
                     page_url: str = "url", html: str = "html", state: str = "state") -> DataFrame:
     """Directory links tied to named units by label, row, summary or term.
 
-    The link's own text is tried first, then its table row or list item (up to 1000 characters),
-    then the details summary or definition term above it (up to 300). Associated ids are a set
-    of at most the units one text names.
+    The link's own text is tried first, then that of the nearest table row or list item around it (up
+    to 1000 characters), then the summary of the nearest details element or the term before the nearest
+    definition (up to 300). Elements nest as a browser's parser without repairs would nest them. A row whose
+    raw text is longer than ``LONGEST_ROW`` is no context. Of the links of a page with equal target,
+    units and status the first is kept. Associated ids are a set of at most the units one text names.
     """
     h = F.col(html)
-    row_pattern = r"(?is)<(tr|li)\b[^>]*>.*?</\1\s*>"
-    details = r"(?is)<details\b[^>]*>\s*<summary\b[^>]*>(.*?)</summary\s*>(.*?)</details\s*>"
-    terms = r"(?is)<dt\b[^>]*>(.*?)</dt\s*>\s*(<dd\b[^>]*>.*?</dd\s*>)"
     snap = F.sha2(h, 256)
     base = pages.select(page_url, state, html, snap.alias("snapshot_sha256"))
     base = U.normalize_urls(base, page_url, "_page")
@@ -485,58 +506,56 @@ def directory_links(pages: DataFrame, units: DataFrame, election_year: int = 202
     base = bind(base, resolution_base=F.when(
         (F.col("_href0") != "") & (F.col("_b") != ""), F.col("_b")).otherwise(F.col("_page")))
 
-    def blocks(pattern: str, header: int | None, basis: str) -> Column:
-        body = F.regexp_extract_all(h, F.lit(pattern), F.lit(0))
-        return F.transform(body, lambda b: F.struct(
-            F.lit(basis).alias("basis"),
-            (F.regexp_extract(b, pattern, header) if header else b).alias("head"), b.alias("block")))
-
-    empty = F.struct(F.lit("anchor_label").alias("basis"), F.lit("").alias("head"),
-                     h.alias("block"))
-    contexts = F.concat(F.array(empty), blocks(row_pattern, None, "directory_row"),
-                        blocks(details, 1, "details_summary"), blocks(terms, 1, "definition_term"))
-    ranks = F.create_map(*[x for i, b in enumerate(
-        ["anchor_label", "directory_row", "details_summary", "definition_term"])
-        for x in (F.lit(b), F.lit(i))])
+    base = with_elements(base, html, {"row": ["tr", "li"], "details": ["details"], "dd": ["dd"]})
+
+    def anchor(e: Column) -> Column:
+        summary = numbered(numbered(e["details"])["summary"])
+        term = numbered(numbered(e["dd"])["term"])
+        around = [F.when(x["chars"] <= LONGEST_ROW, inner_html(x))
+                  for x in (numbered(e["row"]), summary, term)]
+        return F.struct(
+            e["number"].alias("_anchor"), F.get("_pieces", e["start"]).alias("_open"),
+            F.transform(F.array(inner_html(e), *around), H.text_of).alias("_texts"))
+
+    anchors = F.filter("_elements", lambda e: e["name"] == "a")
     found = base.select("_page", state, "snapshot_sha256", "resolution_base",
-                        F.inline(contexts))
-    found = bind(found, _head=H.text_of(F.col("head"))).select(
-        "_page", state, "snapshot_sha256", "resolution_base", "basis", "_head",
-        F.explode(H.elements(F.col("block"), "a")).alias("_tag"))
-    opened = F.regexp_extract("_tag", r"(?is)^(<[^>]*>)", 1)
-    found = bind(found, href=H.attribute(opened, "href"), label=H.text_of(F.col("_tag")))
-    found = found.drop("_tag").filter("href is not null")
+                        F.inline(F.transform(anchors, anchor)))
+    found = bind(found, href=H.attribute(F.col("_open"), "href"), **{
+        name: F.get("_texts", F.lit(k))
+        for k, name in enumerate(("label", "_row", "_summary", "_term"))})
+    found = found.drop("_open", "_texts").filter("href is not null")
     found = U.normalize_urls(found, "href", "link", "resolution_base")
     found = found.filter((F.col("link") != "") & U.publishable(F.col("link"))
                          & ~U.host(F.col("link")).rlike(SOCIAL_HOSTS))
-    text = F.when(F.col("basis") == "anchor_label", F.col("label")).otherwise(F.col("_head"))
-    found = bind(found, _text=text)
-    distinct_texts = found.select(state, "_text").distinct()
+    options = [("anchor_label", "label", None), ("directory_row", "_row", 1000),
+               ("details_summary", "_summary", 300), ("definition_term", "_term", 300)]
+    texts = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() if most is None else F.length(c) <= most, F.struct(
+            F.lit(k).alias("_rank"), F.lit(basis).alias("_basis"), F.col(c).alias("_text")))
+        for k, (basis, c, most) in enumerate(options)]))
+    own = ["_page", state, "snapshot_sha256", "resolution_base", "_anchor", "href", "link", "label",
+           "_row"]
+    tried = found.select(*own, F.inline(texts))
+    distinct_texts = tried.select(state, "_text").distinct()
     named = label_matches(distinct_texts, ["_text"], "_text", units, "jurisdiction_id",
                           scope=[state])
     named = named.groupBy(state, "_text").agg(
         F.array_sort(F.collect_set("unit_id")).alias("_ids"))
-    found = found.join(named, [state, "_text"], "left")
-    # The first basis that names a unit wins for each anchor; rows naming other units stay apart.
-    rank = F.when(F.col("_ids").isNotNull(), ranks[F.col("basis")]).otherwise(
-        F.when(F.col("basis") == "anchor_label", 8).otherwise(9))
-    option = F.struct(rank.alias("rank"), "basis", "_ids", "_head")
-    best = found.groupBy("_page", state, "snapshot_sha256", "resolution_base", "href", "link",
-                         "label").agg(F.array_sort(F.collect_set(option)).alias("_options"))
-    first = F.element_at("_options", 1)
-    kept = F.when(first["rank"] < 8, F.filter(
-        "_options", lambda o: o["rank"] == F.element_at("_options", 1)["rank"])).otherwise(
-        F.slice("_options", 1, 1))
-    best = best.withColumn("_p", F.explode(kept))
+    # The first basis that names a unit wins for each anchor.
+    named_rank = F.when(F.col("_ids").isNotNull(), F.col("_rank"))
+    best = tried.join(named, [state, "_text"], "left").groupBy(*own).agg(F.min_by(F.when(
+        F.col("_ids").isNotNull(), F.struct("_basis", "_ids", F.col("_text").alias("_head"))),
+        named_rank).alias("_p"))
     ids = F.coalesce(F.col("_p._ids"), F.array().cast("array<string>"))
-    context = (F.when(F.col("_p.basis") == "anchor_label", F.col("label"))
-               .when(F.col("_p.basis") == "directory_row", F.col("_p._head"))
+    context = (F.when(F.col("_p").isNull(), F.coalesce("_row", "label"))
+               .when(F.col("_p._basis") == "anchor_label", F.col("label"))
+               .when(F.col("_p._basis") == "directory_row", F.col("_p._head"))
                .otherwise(F.concat_ws(" ", F.col("_p._head"), F.col("label"))))
     rows = best.select(
         F.col(state).alias("state"), F.col("link").alias("url"),
         F.col("_page").alias("observed_from"), "resolution_base", "href", "label",
         context.alias("_context"), ids.alias("associated_unit_ids"),
-        F.col("_p.basis").alias("_basis"), "snapshot_sha256")
+        F.col("_p._basis").alias("_basis"), "snapshot_sha256", "_anchor")
     n = F.size("associated_unit_ids")
     rows = rows.filter((n > 0) | F.concat_ws(" ", F.col("label"), U.path(F.col("url")))
                        .rlike(AUTHORITY_WORDS))
@@ -553,14 +572,19 @@ def directory_links(pages: DataFrame, units: DataFrame, election_year: int = 202
         F.when((n == 1) & ~artifact & ~anchor_only, "review_unit_and_authority_association")
         .otherwise("review_ambiguous_or_unmapped_link").alias("next_action"))
     rows = U.source_context(rows, "url", F.col("_context"), election_year)
-    return rows.select(
+    key = ["observed_from", "state", "url", "associated_unit_ids", "match_status"]
+    rest = ["resolution_base", "match_basis", "link_role", "label", "evidence_excerpt",
+            "snapshot_sha256", "next_action", "election_context", "election_year_clues",
+            "source_format", "update_evidence"]
+    rows = rows.withColumns({"label": U.clean_label(F.col("label")),
+                             "evidence_excerpt": U.clean_label(F.col("_context"))})
+    first = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(
+        "_anchor", "snapshot_sha256")).alias("_first")).select(*key, "_first.*")
+    return first.select(
         "state", "url", "observed_from", "resolution_base", "associated_unit_ids",
-        "match_status", "match_basis", "link_role",
-        U.clean_label(F.col("label")).alias("label"),
-        U.clean_label(F.col("_context")).alias("evidence_excerpt"),
+        "match_status", "match_basis", "link_role", "label", "evidence_excerpt",
         "snapshot_sha256", "next_action", "election_context", "election_year_clues",
-        "source_format", "update_evidence",
-    ).dropDuplicates(["observed_from", "state", "url", "associated_unit_ids", "match_status"])
+        "source_format", "update_evidence")
 
 
 def unresolved_units(units: DataFrame, links: DataFrame) -> DataFrame:

@@ -310,6 +310,75 @@ def directory_links(spark, sf_dir):
         "url", F.array_join("associated_unit_ids", "|").alias("ids"), "match_status")
 
 
+def _line_pages(spark, sf_dir, line, before, after):
+    """One page per order from its lines; an order has at most a handful."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"),
+        (F.col("l_suppkey") % 25).alias("nation"), F.col("l_returnflag").alias("flag"))
+    rows = li.withColumn("ref", F.concat_ws("-", "k", "n")).select("k", "n", line.alias("x"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "x"))),
+                                    lambda e: e.x), "")
+    pages = rows.groupBy("k").agg(text.alias("t"))
+    return pages.select("k", F.concat(F.lit("https://d.example.org/"), F.col("k")).alias("url"),
+                        F.concat(before, F.col("t"), after).alias("html"))
+
+
+@query("nested_directory_links", """
+WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, l_suppkey % 25 AS nation FROM lineitem)
+SELECT k, '/board/' || CAST(k AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS path, '' AS ids, 'authority_keyword' AS match_basis FROM l
+UNION SELECT k, '/out/' || CAST(k AS VARCHAR) || '-' || CAST(n AS VARCHAR), 'us:nation:' || CAST(nation AS VARCHAR), 'directory_row'
+FROM l JOIN nation ON n_nationkey = nation WHERE n_regionkey = k % 5
+UNION SELECT k, '/last/' || CAST(k AS VARCHAR), 'us:nation:' || CAST(n_nationkey AS VARCHAR), 'details_summary'
+FROM (SELECT DISTINCT k FROM l) JOIN nation ON n_nationkey = k % 25 WHERE n_regionkey = k % 5
+""")
+def nested_directory_links(spark, sf_dir):
+    # The inner item's link lies in no item that names a unit; the outer one's does, after the inner
+    # list's end tag. Paragraphs stay open, as do the items of the second list.
+    line = F.concat(F.lit("<li>NATION_"), F.col("nation"), F.lit(' <ul><li><a href="/board/'),
+                    F.col("ref"), F.lit('">Go</a></ul><p><a href="/out/'), F.col("ref"),
+                    F.lit('">Go</a></li>'))
+    pages = _line_pages(
+        spark, sf_dir, line, F.lit("<title>Units</title><ul>"),
+        F.concat(F.lit("</ul><details><summary>NATION_"), F.col("k") % 25, F.lit(
+            "</summary><details><summary>x</summary></details><ul></ul></li><b><a href='/last/"),
+            F.col("k"), F.lit("'>Go</a></b></details>")))
+    pages = pages.withColumn("state", F.concat(F.lit("S"), F.col("k") % 5))
+    out = L.directory_links(pages, _nation_units(spark, sf_dir))
+    return out.select(
+        F.regexp_extract("observed_from", r"(\d+)$", 1).cast("long").alias("k"),
+        U.path(F.col("url")).alias("path"),
+        F.array_join("associated_unit_ids", "|").alias("ids"), "match_basis")
+
+
+@query("hidden_candidates", """
+WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, l_suppkey % 25 AS nation, l_returnflag AS flag FROM lineitem),
+c AS (SELECT k, '/in/' || CAST(k AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS path, 'row_context' AS bases FROM l
+      WHERE k % 3 = 2 OR (k % 3 = 0 AND flag = 'A') OR (k % 3 = 1 AND flag = 'N')
+  UNION ALL SELECT k, '/data/' || CAST(k AS VARCHAR) || '-' || CAST(n AS VARCHAR), 'data_attribute' FROM l WHERE flag = 'R'
+  UNION ALL SELECT DISTINCT k, '/both/' || CAST(k AS VARCHAR), 'row_context|script' FROM l)
+SELECT DISTINCT k, path, bases FROM c
+""")
+def hidden_candidates(spark, sf_dir):
+    # The word of a unit stands in the nearest division or article of a link, or only further out.
+    word = F.when(F.col("flag") == "A", "Parish").when(F.col("flag") == "N", "County").otherwise("x")
+    line = F.concat(
+        F.lit("<section>Parish County<div><article>"), word,
+        F.lit("<p>a<div>y</div> <a class=b HREF='/in/"), F.col("ref"), F.lit("'>z</a></article></div>"),
+        F.when(F.col("flag") == "R", F.concat(F.lit("<i data-Website-x = /data/"), F.col("ref"),
+                                              F.lit(" title='>'>"))).otherwise(""),
+        F.lit("</section>"))
+    both = F.concat(F.lit("https://d.example.org/both/"), F.col("k"))
+    pages = _line_pages(spark, sf_dir, line, F.lit("<title>u</title>"), F.concat(
+        F.lit('<script>var a="'), both, F.lit('\\", b="https://www.facebook.com/x";</script>'
+                                              '<td>county parish <a href="'), both,
+        F.lit('">county parish</a>')))
+    states = F.element_at(F.array(F.lit("LA"), F.lit("MN"), F.lit("ZZ")),
+                          (F.col("k") % 3 + 1).cast("int"))
+    out = L.hidden_candidates(pages.withColumn("state", states), F.col("state"))
+    return out.select("k", U.path(F.col("candidate_url")).alias("path"),
+                      F.array_join("bases", "|").alias("bases"))
+
+
 def _nation_units(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(
         F.concat(F.lit("us:nation:"), F.col("n_nationkey")).alias("jurisdiction_id"),

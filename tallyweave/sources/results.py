@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tallyweave.functions import html as H
 from tallyweave.functions import ids
 from tallyweave.functions import values as N
+from tallyweave.functions.nesting import tables
 from tallyweave.operators.modes import resolve_modes
 from tallyweave.schemas import OBSERVATION, PROGRESS
 from tallyweave.session import bind
@@ -692,11 +693,12 @@ STATEWIDE_HEADER = ["Name", "Party", "Early Voting", "Election Day", "Mail-In Ba
 def statewide_tables(df: DataFrame, key: list[str], body: str) -> tuple[DataFrame, DataFrame]:
     """Mode tables whose sums must agree in every row and in the totals row.
 
-    Returns the candidate rows and the violations ``(key, table, rule_id)``.
+    Tables may lie in others; a row counts for every table around it. Returns the candidate rows and the
+    violations ``(key, table, rule_id)``.
     """
-    tables = df.select(*key, F.posexplode(H.elements(F.col(body), "table")).alias("table", "_t"))
-    cut = bind(tables, _rows=F.filter(F.transform(H.elements(F.col("_t"), "tr"), H.table_cells),
-                                      lambda c: F.size(c) > 0))
+    cut = tables(df, body, key)
+    cut = bind(cut, _cells=F.filter("_rows", lambda c: F.size(c) > 0)).drop("_rows")
+    cut = cut.withColumnRenamed("_cells", "_rows")
     header = F.array(*[F.lit(c) for c in STATEWIDE_HEADER])
     cut = bind(cut, _at=F.array_position("_rows", header).cast("int")).filter("_at > 0")
     body_rows = F.filter(F.slice("_rows", F.col("_at") + 1, F.size("_rows") - F.col("_at")),

@@ -40,6 +40,34 @@ def test_directory_contexts(spark):
     assert left == {"u1", "u3", "u4"}
 
 
+NESTED = """<html><head><title>Directory</title></head><body><table><tr><td>
+<ul><li>Kent County <ul><li><a href="/inner-elections">Go</a></li></ul> <a href="/outer">Go</a>
+<li>Lake County <a href="/lake">Go</a></ul>
+<dl><dt>Ford County<dt>York County</dt><dd><dl><dd><a href="/deep/clerk">Go</a></dd></dl><a href="/york">Go</a>
+</dd></dl></td></tr></table><details><summary>Kent County</summary><details><p><a href="/none-board">Go</a>
+</p></details><a href="/kent">Go</a></details></body></html>"""
+
+
+def test_nearest_parents(spark):
+    page = spark.createDataFrame([("https://s.gov/dir", "SS", NESTED)],
+                                 "url string, state string, html string")
+    got = {(r.url, tuple(r.associated_unit_ids), r.match_basis)
+           for r in L.directory_links(page, units(spark)).collect()}
+    site = "https://s.gov"
+    assert got == {
+        (f"{site}/inner-elections", (), "authority_keyword"),
+        (f"{site}/outer", ("u2", "u3"), "directory_row"),
+        (f"{site}/lake", ("u3",), "directory_row"),
+        (f"{site}/deep/clerk", ("u0", "u2", "u3", "u4"), "directory_row"),
+        (f"{site}/york", ("u0", "u2", "u3", "u4"), "directory_row"),
+        (f"{site}/none-board", (), "authority_keyword"), (f"{site}/kent", ("u2",), "details_summary")}
+    plain = page.withColumn("html", F.regexp_replace("html", "</?t(able|r|d)>", ""))
+    got = {(r.url, tuple(r.associated_unit_ids), r.match_basis)
+           for r in L.directory_links(plain, units(spark)).collect()}
+    assert (f"{site}/york", ("u0",), "definition_term") in got
+    assert (f"{site}/deep/clerk", (), "authority_keyword") in got
+
+
 def test_discovery_target_kinds(spark):
     html = ("<link rel='canonical' href='/canvass'><meta http-equiv='refresh' content='0; "
             "url=/election-results'><iframe src='https://x.clarityelections.com/a/'></iframe>"
