@@ -7,17 +7,15 @@ carry forward by splitting the record at its headings, and mode rules are broadc
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyweave.functions import html as H
 from tallyweave.functions import ids
 from tallyweave.functions import values as N
+from tallyweave.functions.jsontext import last_of_each, with_objects
 from tallyweave.functions.nesting import tables
 from tallyweave.operators.modes import resolve_modes
 from tallyweave.schemas import OBSERVATION, PROGRESS
@@ -246,28 +244,6 @@ def nested_xml(df: DataFrame, body: str, ctx: Context, rules: DataFrame | None =
     return _facts(long, rules=rules)
 
 
-@F.pandas_udf(T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-def _flat_objects(documents: pd.Series) -> pd.Series:
-    """Scalar fields of every object inside each JSON text, outer objects first."""
-    def flatten(text):
-        try:
-            queue = [json.loads(text)] if text else []
-        except ValueError:
-            return []
-        found = []
-        while queue:
-            value = queue.pop(0)
-            if isinstance(value, dict):
-                found.append({k: v if isinstance(v, str) else json.dumps(v)
-                              for k, v in value.items()
-                              if v is not None and not isinstance(v, (dict, list))})
-                queue.extend(value.values())
-            elif isinstance(value, list):
-                queue.extend(value)
-        return found
-    return documents.map(flatten)
-
-
 def script_objects(df: DataFrame, body: str, ctx: Context) -> DataFrame:
     """Every JSON object embedded in a page's scripts, as a map of its scalar fields."""
     scripts = df.select(*[v.alias(k) for k, v in ctx.columns().items()],
@@ -281,7 +257,7 @@ def script_objects(df: DataFrame, body: str, ctx: Context) -> DataFrame:
     texts = F.concat(F.when(typed, F.array(inner)).otherwise(
         F.array().cast("array<string>")), assigned)
     docs = scripts.select(*CONTEXT, F.explode(texts).alias("_j"))
-    return docs.select(*CONTEXT, F.explode(_flat_objects("_j")).alias("o"))
+    return with_objects(docs, "_j").select(*CONTEXT, F.explode("_objects").alias("o"))
 
 
 def _field(keys: list[str]) -> Column:
@@ -297,10 +273,7 @@ def _with_lower(objects: DataFrame) -> DataFrame:
     entries = F.map_entries("o")
     lows = F.transform(entries, lambda e: F.struct(F.lower(e.key).alias("key"),
                                                    e.value.alias("value")))
-    last = F.transform(F.array_distinct(F.transform(lows, lambda e: e.key)), lambda k: F.struct(
-        k.alias("key"), F.element_at(F.filter(lows, lambda e: e.key == k), -1)["value"]
-        .alias("value")))
-    return bind(objects, _low=F.map_from_entries(last))
+    return bind(objects, _low=F.map_from_entries(last_of_each(lows)))
 
 
 def script_results(df: DataFrame, body: str, ctx: Context,
