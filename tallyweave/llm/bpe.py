@@ -1,7 +1,7 @@
 """Byte-level BPE by tree reduction: encodings of parts are joined like elements of a monoid.
 
-Each match of the pattern is encoded by itself: its bytes are halved down to single bytes, and the
-encodings of neighbours are joined. To join two, the last tokens of the left one and the first of the
+Each match of the pattern is encoded by itself: its bytes are halved down to leaves of at most ``SHORT``
+bytes, which are merged as they are, and the encodings of neighbours are joined. To join two, the last tokens of the left one and the first of the
 right one are encoded anew as one string, at first one token of each, then more and more,
 until the outermost tokens of the window come out as they were (or the window has reached that end).
 Then nothing outside can change: token sequences are encodings exactly if each two neighbours are the
@@ -18,6 +18,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -29,8 +30,8 @@ from pyspark.sql import DataFrame
 from tallyweave.llm.text import WordCodes, documents, slices
 
 #: Words that a worker remembers, and short byte strings; beyond it starts afresh.
-CACHE = 300_000
-SHORT = 6
+CACHE = 600_000
+SHORT = 8
 #: Windows up to so many bytes are merged by plain search, longer ones with a heap.
 SIMPLE = 32
 LEAF = 4096
@@ -70,11 +71,7 @@ class TreeEncoder(WordCodes):
             found = self.short.get(data)
             if found is not None:
                 return found
-            if size <= 1:
-                out = [self.ranks[data]] if data else []
-            else:
-                out = self.join(self.encode(data[:size // 2]), self.encode(data[size // 2:]))
-            self.short[data] = out
+            out = self.short[data] = self.merge(data)
             return out
         return self.join(self.encode(data[:size // 2]), self.encode(data[size // 2:]))
 
@@ -155,12 +152,18 @@ class TreeEncoder(WordCodes):
         return level[0]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> TreeEncoder:
+    """This process's encoder, which keeps what it remembers from task to task."""
+    return TreeEncoder(path)
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, the ids and the bytes they decode to, of every row; ``path`` names the ranks."""
     id_type = dict(docs.dtypes)["doc_id"]
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = TreeEncoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             texts = batch["text"].tolist()
             for part in slices(texts):
@@ -182,7 +185,7 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
     id_type = dict(docs.dtypes)["doc_id"]
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = TreeEncoder(path)
+        encoder = encoder_of(path)
         decimal = {n: str(n) for n in encoder.tokens}.__getitem__
         for batch in batches:
             texts = batch["text"].tolist()
