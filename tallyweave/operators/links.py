@@ -437,39 +437,41 @@ def label_matches(texts: DataFrame, text_id: list[str], text: str, units: DataFr
                   level: str | None = "jurisdiction_level") -> DataFrame:
     """Units named as a whole phrase in each text.
 
-    Every run of words up to the longest unit name becomes a join key, so the match is an
-    equi-join and no text meets a unit it does not name. A name that lies inside a longer
-    matched name of the same text is dropped; equal names of several units stay ambiguous.
+    Names are indexed by the word of theirs that the fewest names hold. Each word of a text meets the
+    names it is the index of, and is compared in place, so the work grows with the text and
+    no text meets a unit without that word. A name that lies inside a longer matched name of the same
+    text is dropped; equal names of several units stay ambiguous.
     """
     scope = scope or []
-    forms = unit_name_forms(units, name, level).select(
+    named = unit_name_forms(units, name, level).select(
         *scope, F.col(unit_id).alias("unit_id"), "_form").distinct()
+    forms = named.select(*scope, "_form").distinct()
+    parts = forms.select(*scope, "_form", F.posexplode(F.split("_form", " ")).alias("_off", "_word"))
+    held = parts.groupBy(*scope, "_word").agg(F.count(F.lit(1)).alias("_names"))
+    index = parts.join(held, [*scope, "_word"]).groupBy(*scope, "_form").agg(
+        F.min_by(F.struct("_word", "_off"), F.struct("_names", "_off")).alias("_key"))
+    index = index.select(*scope, F.col("_key._word").alias("_word"), F.col("_key._off").alias("_off"),
+                         "_form", F.size(F.split("_form", " ")).alias("_len"))
     longest = forms.agg(F.coalesce(F.max(F.size(F.split("_form", " "))), F.lit(0)).alias("_max"))
     split = bind(texts.select(*text_id, *scope, F.col(text).alias("_label")),
                  _w=F.split(words(F.col("_label")), " ")).drop("_label")
-    # One row: the longest name's word count.
-    split = split.join(F.broadcast(longest))
-    n = F.size("_w")
-    starts = split.select(*text_id, *scope, "_w", "_max",
-                          F.explode(F.sequence(F.lit(1), n)).alias("_i"))
-    runs = starts.filter("_max > 0").select(
-        *text_id, *scope, "_w", "_i",
-        F.explode(F.sequence(F.lit(1), F.least(F.col("_max"), F.size("_w") - F.col("_i") + 1)))
-        .alias("_len"))
-    grams = runs.select(*text_id, *scope,
-                        F.array_join(F.slice("_w", F.col("_i"), F.col("_len")), " ")
-                        .alias("_form")).distinct()
-    hits = grams.join(forms, [*scope, "_form"])
-    names = hits.groupBy(*text_id, *scope).agg(F.collect_set("_form").alias("_all"),
-                                               F.collect_set(F.struct("_form", "unit_id"))
-                                               .alias("_hits"))
-    inside = lambda h: F.exists("_all", lambda f: (
-        (f != h["_form"]) & F.concat(F.lit(" "), f, F.lit(" ")).contains(
-            F.concat(F.lit(" "), h["_form"], F.lit(" ")))))
-    return names.select(*text_id, *scope,
-                        F.explode(F.array_distinct(F.transform(
-                            F.filter("_hits", lambda h: ~inside(h)), lambda h: h.unit_id)))
-                        .alias("unit_id"))
+    # One row: the longest name's word count. A word goes with as many words around it.
+    split = split.join(F.broadcast(longest)).filter("_max > 0")
+    first = F.greatest(F.col("_i") - F.col("_max") + 1, F.lit(0))
+    at = split.select(*text_id, *scope, "_w", "_max", F.posexplode("_w").alias("_i", "_word"))
+    at = at.select(*text_id, *scope, "_word", (F.col("_i") - first).alias("_at"),
+                   F.slice("_w", first + 1, 2 * F.col("_max") - 1).alias("_around"))
+    start = F.col("_at") - F.col("_off")
+    same = F.array_join(F.slice("_around", F.greatest(start, F.lit(0)) + 1, F.col("_len")),
+                        " ") == F.col("_form")
+    hits = at.join(index, [*scope, "_word"]).filter((start >= 0) & same).select(
+        *text_id, *scope, "_form").distinct()
+    found = hits.groupBy(*text_id, *scope).agg(F.collect_set("_form").alias("_all"))
+    inside = lambda h: F.exists("_all", lambda f: (f != h) & F.concat(
+        F.lit(" "), f, F.lit(" ")).contains(F.concat(F.lit(" "), h, F.lit(" "))))
+    kept = found.select(*text_id, *scope, F.explode(F.filter(
+        "_all", lambda h: ~inside(h))).alias("_form"))
+    return kept.join(named, [*scope, "_form"]).select(*text_id, *scope, "unit_id").distinct()
 
 
 #: A row of up to 1000 characters is no longer in raw text: references have up to 33 for one.

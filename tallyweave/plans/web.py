@@ -208,26 +208,22 @@ def public_candidates(spark, sf_dir):
 
 
 @query("label_matches", r"""
-WITH n AS (SELECT DISTINCT trim(regexp_replace(lower(strip_accents(x)), '[^a-z0-9]+', ' ', 'g')) AS f
-  FROM (SELECT unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS x FROM pages)
-  WHERE regexp_full_match(x, '[\x00-\x7F]*')),
-t AS (SELECT page_id, ' ' || trim(regexp_replace(lower(regexp_extract(html, '<title>([^<]*)</title>', 1)),
-        '[^a-z0-9]+', ' ', 'g')) || ' ' AS w FROM pages
-      WHERE regexp_full_match(regexp_extract(html, '<title>([^<]*)</title>', 1), '[\x00-\x7F]*')),
-m AS (SELECT page_id, f FROM t JOIN n ON f <> '' AND contains(w, ' ' || f || ' '))
+WITH x AS (SELECT unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS s, NULL AS page_id FROM pages
+  UNION ALL SELECT regexp_extract(html, '<title>([^<]*)</title>', 1), page_id FROM pages),
+w AS (SELECT page_id, trim(regexp_replace(lower(array_to_string([CASE WHEN strip_accents(c) <> c
+        THEN strip_accents(c) || ' ' ELSE c END FOR c IN string_split(replace(s, 'ß', 'ss'), '')], '')), '[^a-z0-9]+', ' ', 'g')) AS f FROM x),
+n AS (SELECT DISTINCT f FROM w WHERE page_id IS NULL AND f <> ''),
+m AS (SELECT page_id, n.f FROM w t JOIN n ON contains(' ' || t.f || ' ', ' ' || n.f || ' ') WHERE page_id IS NOT NULL)
 SELECT m.page_id, m.f AS unit_id FROM m
 WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.page_id = m.page_id AND o.f <> m.f
                   AND contains(' ' || o.f || ' ', ' ' || m.f || ' '))
 """)
 def label_matches(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    ascii_only = r"^[\x00-\x7F]*$"
-    names = (L.anchors(pages).filter(F.col("label").rlike(ascii_only))
-             .select(F.col("label").alias("canonical_name")).distinct())
+    names = L.anchors(pages).select(F.col("label").alias("canonical_name")).distinct()
     names = names.withColumn("id", ids.words(F.col("canonical_name"))).filter("id <> ''")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    titles = pages.select("page_id", title.alias("title")).filter(
-        F.col("title").rlike(ascii_only))
+    titles = pages.select("page_id", title.alias("title"))
     return L.label_matches(titles, ["page_id"], "title", names, "id", level=None)
 
 
