@@ -15,7 +15,7 @@ lo AS (SELECT c_custkey AS id, 'n' || CAST(c_nationkey AS VARCHAR) AS state, c_m
 de AS (SELECT 'n' || CAST(n_nationkey AS VARCHAR) AS state, n_nationkey, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey)
          + n_nationkey % 5 - 1 AS expected, CASE WHEN n_nationkey % 3 = 0 THEN 'high_confidence' ELSE 'provisional' END AS est FROM nation),
 ca AS (SELECT o_custkey AS id, CASE WHEN o_orderpriority < '3' THEN 'final' ELSE 'election_night' END AS ct,
-         o_orderstatus, CAST(o_orderdate AS DATE) AS vf, o_orderpriority, o_orderkey FROM orders WHERE o_orderkey % 4 = 0),
+         o_orderstatus, CAST(o_orderdate AS DATE) AS vf, o_orderpriority, o_orderkey FROM orders),
 dc AS (SELECT id, bool_or(ct = 'final') AS f, bool_or(ct = 'election_night') AS l FROM ca
        WHERE o_orderstatus <> 'P' AND vf <= DATE '1999-06-01' AND DATE '1999-06-01' <= vf + 900 GROUP BY ALL),
 ov AS (SELECT lo.*, CASE WHEN f AND l THEN 'both' WHEN f THEN 'final_only' WHEN l THEN 'election_night_only'
@@ -39,7 +39,7 @@ def _base(spark, sf_dir):
         F.when(F.col("n_nationkey") % 3 == 0, "high_confidence").otherwise("provisional")
         .alias("estimate_status"))
     day = F.to_date("o_orderdate")
-    ca = table(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0").select(
+    ca = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("jurisdiction_id"), "o_orderkey",
         F.when(F.col("o_orderpriority") < "3", "final").otherwise("election_night")
         .alias("capability_type"),
@@ -115,7 +115,7 @@ au AS (SELECT o_orderkey, 'n' || CAST(c_nationkey AS VARCHAR) AS state, o_orders
   'https://r' || CAST(o_orderkey % 40 AS VARCHAR) || CASE o_orderpriority WHEN '1-URGENT' THEN '.clarityelections.com/a'
     WHEN '2-HIGH' THEN '.example.org/x.csv' WHEN '3-MEDIUM' THEN '.example.org/y.pdf' WHEN '5-LOW' THEN '.example.gov/z' ELSE '.example.org/scytl' END AS u1,
   'https://r' || CAST(o_orderkey % 30 AS VARCHAR) || '.example.org/documents' AS u2
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey < 24),
+  FROM orders JOIN customer ON o_custkey = c_custkey ),
 li AS (SELECT state, u, min(o_orderkey) AS k, arg_min(o_orderstatus, o_orderkey) AS s FROM (
   SELECT state, u1 AS u, o_orderkey, o_orderstatus FROM au UNION ALL
   SELECT state, u2, o_orderkey, o_orderstatus FROM au WHERE o_orderstatus <> 'F') GROUP BY ALL),
@@ -129,8 +129,7 @@ lt AS (SELECT *, CASE fam WHEN 'clarity' THEN 'ready_adapter' WHEN 'tabular_down
 def _authority_rows(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderpriority")
-    c = table(spark, sf_dir, "customer").filter("c_nationkey < 24").select("c_custkey",
-                                                                           "c_nationkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = F.col("o_orderpriority")
     tail = (F.when(p == "1-URGENT", ".clarityelections.com/a")
             .when(p == "2-HIGH", ".example.org/x.csv").when(p == "3-MEDIUM", ".example.org/y.pdf")
@@ -445,7 +444,7 @@ def corpus_gaps(spark, sf_dir):
 
 @query("depth_matrix", f"""
 WITH {_C_SQL},
-ex AS (SELECT 'n' || CAST(s_nationkey AS VARCHAR) AS state, l_quantity AS q, {_STAGE} AS st FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey % 3 > 0),
+ex AS (SELECT 'n' || CAST(s_nationkey AS VARCHAR) AS state, l_quantity AS q, {_STAGE} AS st FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 e2 AS (SELECT state, count(*) AS n, count(*) FILTER (q >= 15) AS x, count(*) FILTER (q >= 29) AS nm, count(*) FILTER (q >= 36) AS rp, count(*) FILTER (q >= 43) AS rv, arg_max(st, q) AS top FROM ex GROUP BY ALL),
 k AS (SELECT state, count(*) AS n FROM lo GROUP BY ALL),
 l AS (SELECT state, count(DISTINCT id) AS u, count(*) AS n FROM ca JOIN lo USING (id) GROUP BY ALL),
@@ -463,7 +462,7 @@ def depth_matrix(spark, sf_dir):
     lo, de, ca = _base(spark, sf_dir)
     leads = ca.join(lo.select("jurisdiction_id", "state"), "jurisdiction_id")
     ex = _execution(spark, sf_dir)
-    s = table(spark, sf_dir, "supplier").filter("s_nationkey % 3 > 0").select(
+    s = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("s"), F.col("s_suppkey")).alias("state"),
         F.concat(F.lit("n"), F.col("s_nationkey")).alias("nation"))
     ex = ex.join(s, "state").select(F.col("nation").alias("state"),
@@ -508,7 +507,7 @@ def visibility_proxy(spark, sf_dir):
 
 
 @query("covered_population", """
-WITH s AS (SELECT o_custkey AS place, max(CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 END) AS best FROM orders WHERE o_orderkey % 6 = 0 GROUP BY ALL),
+WITH s AS (SELECT o_custkey AS place, max(CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 END) AS best FROM orders GROUP BY ALL),
 c AS (SELECT c_custkey AS place, CAST(floor(abs(c_acctbal)) AS BIGINT) AS p FROM customer)
 SELECT CAST(sum(p) FILTER (best >= 1) AS BIGINT) AS "any", CAST(sum(p) FILTER (best >= 2) AS BIGINT) AS municipality_or_finer, CAST(sum(p) FILTER (best >= 3) AS BIGINT) AS precinct_or_finer,
   CAST(sum(p) FILTER (s.place IS NOT NULL AND best IS NULL) AS BIGINT) AS unknown_resolution, CAST(sum(p) AS BIGINT) AS total FROM c LEFT JOIN s USING (place)
@@ -517,7 +516,7 @@ def covered_population(spark, sf_dir):
     places = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("place"), F.floor(F.abs("c_acctbal")).alias("population"))
     p = F.col("o_orderpriority")
-    sources = table(spark, sf_dir, "orders").filter("o_orderkey % 6 = 0").select(
+    sources = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("place"),
         F.when(p == "1-URGENT", 3).when(p == "2-HIGH", 2).when(p == "3-MEDIUM", 1)
         .alias("resolution"))
@@ -607,9 +606,11 @@ WITH {_CAT_SQL},
 e AS (SELECT link, tb.page, cpl.label FROM tb JOIN cpl USING (page_id, link) WHERE kind IS NOT NULL AND (l_linestatus = 'O' OR w > 0))
 SELECT DISTINCT link AS url, 'observed_from' AS attribute, page AS value FROM tb WHERE kind IS NOT NULL
 UNION SELECT DISTINCT link, 'election_label', label FROM e
+UNION SELECT link, 'observed_year', unnest([y FOR y IN string_split_regex(link || ' ' || label, '[^0-9]+') IF regexp_full_match(y, '(19|20)[0-9]{{2}}')]) FROM e
+UNION SELECT link, 'observed_year', unnest([y FOR y IN string_split_regex(link, '[^0-9]+') IF regexp_full_match(y, '(19|20)[0-9]{{2}}')]) FROM tb WHERE kind IS NOT NULL
 """)
 def catalog_evidence(spark, sf_dir):
-    return K.catalog_evidence(_catalog(spark, sf_dir)).filter("attribute <> 'observed_year'")
+    return K.catalog_evidence(_catalog(spark, sf_dir))
 
 
 @query("candidate_associations", f"""

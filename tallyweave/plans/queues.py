@@ -114,12 +114,11 @@ def hierarchy_cycles(spark, sf_dir):
 
 @query("edge_cycles", f"""
 WITH RECURSIVE {_NEXT_SQL},
-walk(s, n) AS (SELECT c, p FROM nx WHERE c % 3 > 0 UNION
-               SELECT s, p FROM walk JOIN nx ON n = c WHERE c % 3 > 0)
+walk(s, n) AS (SELECT c, p FROM nx UNION SELECT s, p FROM walk JOIN nx ON n = c)
 SELECT DISTINCT s AS child_id, p AS parent_id FROM walk JOIN nx ON s = c WHERE s = n
 """)
 def edge_cycles(spark, sf_dir):
-    edges = _next_customer(spark, sf_dir).filter("c % 3 > 0").select(
+    edges = _next_customer(spark, sf_dir).select(
         F.col("c").alias("child_id"), F.col("p").alias("parent_id"))
     return G.edge_cycles(edges)
 
@@ -159,23 +158,23 @@ def children(spark, sf_dir):
 
 @query("follow_links", """
 WITH e AS (SELECT DISTINCT 's' || CAST(l_suppkey AS VARCHAR) AS a, 'p' || CAST(l_partkey AS VARCHAR) AS b
-           FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'O'),
+           FROM lineitem WHERE l_returnflag = 'A'),
 b AS (SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS a, 's' || CAST(l_suppkey AS VARCHAR) AS b
-      FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O'),
+      FROM lineitem WHERE l_returnflag <> 'A'),
 h AS (SELECT * FROM e UNION SELECT * FROM b),
-s AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS url, s_nationkey AS unit FROM supplier WHERE s_suppkey < 5),
+s AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS url, s_nationkey AS unit FROM supplier),
 d1 AS (SELECT DISTINCT h.b AS url, unit FROM s JOIN h ON url = a),
 d2 AS (SELECT DISTINCT h.b AS url, unit FROM d1 JOIN h ON url = a),
 x AS (SELECT url, unit, 0 AS depth FROM s UNION ALL SELECT url, unit, 1 FROM d1 UNION ALL SELECT url, unit, 2 FROM d2)
 SELECT url, unit, min(depth) AS depth FROM x GROUP BY ALL
 """)
 def follow_links(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_linestatus = 'O'")
+    li = table(spark, sf_dir, "lineitem")
     s = F.concat(F.lit("s"), F.col("l_suppkey"))
     p = F.concat(F.lit("p"), F.col("l_partkey"))
     hops = li.filter("l_returnflag = 'A'").select(s.alias("url"), p.alias("target")).unionByName(
-        li.filter("l_returnflag = 'R'").select(p.alias("url"), s.alias("target")))
-    seeds = table(spark, sf_dir, "supplier").filter("s_suppkey < 5").select(
+        li.filter("l_returnflag <> 'A'").select(p.alias("url"), s.alias("target")))
+    seeds = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("s"), F.col("s_suppkey")).alias("url"), F.col("s_nationkey").alias("unit"))
     return G.follow(seeds, hops, 2)
 
@@ -327,32 +326,34 @@ _REG_SQL = """
 lo AS (SELECT c_custkey AS id, c_nationkey AS state FROM customer),
 di AS (SELECT DISTINCT o_custkey AS id, c_nationkey AS state, CASE o_orderstatus WHEN 'F' THEN 'final' ELSE 'live' END AS role,
          'https://u' || CAST(o_custkey % 900 AS VARCHAR) || '.example.org/' || substr(o_orderpriority, 1, 1) AS url
-       FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 = 0),
-ce AS (SELECT DISTINCT s_nationkey AS state, 'https://dir.example.org/' || CAST(s_suppkey % 4 AS VARCHAR) AS url FROM supplier
-       WHERE s_nationkey % 5 > 0),
+       FROM orders JOIN customer ON o_custkey = c_custkey AND o_orderkey % 9 = 0),
+ce AS (SELECT DISTINCT s_nationkey + CASE WHEN s_nationkey % 5 = 0 THEN 100 ELSE 0 END AS state, 'https://dir.example.org/' || CAST(s_suppkey % 4 AS VARCHAR) AS url FROM supplier),
 c2 AS (SELECT state, url, row_number() OVER (PARTITION BY state ORDER BY url) AS rn FROM ce),
 st AS (SELECT id, state, role, url FROM di UNION ALL
        SELECT lo.id, lo.state, 'state_directory_fallback', c2.url FROM lo JOIN c2 ON lo.state = c2.state AND rn <= 2
        WHERE lo.id NOT IN (SELECT id FROM di)),
 ob AS (SELECT DISTINCT 'https://u' || CAST(l_partkey % 900 AS VARCHAR) || '.example.org/' || CAST(l_linenumber AS VARCHAR) AS parent,
-         'https://r.example.org/' || CAST(l_suppkey AS VARCHAR) AS url, l_linestatus AS ls FROM lineitem WHERE l_returnflag = 'R')
+         'https://r.example.org/' || CAST(l_suppkey AS VARCHAR) AS url, l_linestatus AS ls FROM lineitem)
 """
 
 
 def _registries(spark, sf_dir):
     lo = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("jurisdiction_id"),
                                                  F.col("c_nationkey").alias("state"))
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 9 = 0").select(
-        F.col("o_custkey").alias("jurisdiction_id"), "o_orderstatus", "o_orderpriority")
+    # Eight of nine direct pages name a unit, and a fifth of the directories a state, that no list has.
+    unlisted = F.when(F.col("o_orderkey") % 9 > 0, 1_000_000_000).otherwise(0)
+    o = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") + unlisted).alias("jurisdiction_id"), "o_orderstatus",
+        "o_orderpriority")
     direct = o.join(lo, "jurisdiction_id").select(
         "jurisdiction_id", "state",
         F.when(F.col("o_orderstatus") == "F", "final").otherwise("live").alias("page_role"),
         F.concat(F.lit("https://u"), F.col("jurisdiction_id") % 900, F.lit(".example.org/"),
                  F.left("o_orderpriority", F.lit(1))).alias("url"))
-    central = table(spark, sf_dir, "supplier").filter("s_nationkey % 5 > 0").select(
-        F.col("s_nationkey").alias("state"),
+    central = table(spark, sf_dir, "supplier").select(
+        (F.col("s_nationkey") + F.when(F.col("s_nationkey") % 5 == 0, 100).otherwise(0)).alias("state"),
         F.concat(F.lit("https://dir.example.org/"), F.col("s_suppkey") % 4).alias("url"))
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    li = table(spark, sf_dir, "lineitem")
     observed = li.select(
         F.concat(F.lit("https://u"), F.col("l_partkey") % 900, F.lit(".example.org/"),
                  F.col("l_linenumber")).alias("parent"),
@@ -491,7 +492,7 @@ WITH {_FRONTIER_SQL},
 sd AS (SELECT u, 'https://p.example.org/' || CAST(k AS VARCHAR) AS url, min(k % 2) AS depth FROM ev GROUP BY ALL),
 cd AS (SELECT u, 'https://p.example.org/' || CAST(k AS VARCHAR) AS url, count(*) AS score FROM ev WHERE event_type = 'view' GROUP BY ALL),
 b AS (SELECT u, url FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, url DESC) AS rn FROM cd) WHERE rn <= 3),
-pg AS (SELECT 'https://p.example.org/' || CAST(k AS VARCHAR) AS url, max(t) AS ls FROM ev WHERE event_type = 'click' AND k % 3 = 0 GROUP BY ALL),
+pg AS (SELECT 'https://p.example.org/' || CAST(k AS VARCHAR) AS url, max(t) AS ls FROM ev WHERE event_type = 'click' GROUP BY ALL),
 xx AS (SELECT sd.url, bool_and(quiet_rounds >= 3) AS parked, max(depth) AS depth, bool_or(b.url IS NOT NULL) AS best
       FROM sd JOIN fr USING (u) LEFT JOIN b ON b.u = sd.u AND b.url = sd.url GROUP BY ALL)
 SELECT xx.url, parked FROM xx LEFT JOIN pg USING (url)
@@ -506,7 +507,7 @@ def monitoring_seeds(spark, sf_dir):
     seeds = rows.groupBy("unit", "url").agg(F.min(F.col("k") % 2).alias("watch_depth"))
     cands = rows.filter("event_type = 'view'").groupBy("unit", "url").agg(
         F.count(F.lit(1)).alias("score"))
-    pages = rows.filter("event_type = 'click' and k % 3 = 0").groupBy("url").agg(
+    pages = rows.filter("event_type = 'click'").groupBy("url").agg(
         F.max("t").alias("last_success_at"))
     return Q.monitoring_seeds(seeds, cands, _frontier(spark, sf_dir), pages,
                               F.lit(1706600000).cast("long"))

@@ -221,16 +221,17 @@ def ledger_violations(spark, sf_dir):
 
 
 @query("binding_violations", """
-WITH b AS (SELECT o_orderkey, o_custkey, c_custkey, c_nationkey, o_orderkey % 25 AS a FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 6 > 0)
+WITH o AS (SELECT o_orderkey, o_custkey + CASE WHEN o_orderkey % 6 = 0 THEN 1000000000 ELSE 0 END AS o_custkey FROM orders),
+b AS (SELECT o_orderkey, o_custkey, c_custkey, c_nationkey, o_orderkey % 25 AS a FROM o LEFT JOIN customer ON c_custkey = o_custkey)
 SELECT o_custkey, 'unknown_locality' AS rule_id, count(*) AS n FROM b WHERE c_custkey IS NULL GROUP BY ALL
 UNION ALL SELECT o_custkey, 'authority_disagrees', count(*) FROM b WHERE c_custkey IS NOT NULL AND c_nationkey <> a GROUP BY ALL
 UNION ALL SELECT o_custkey, 'no_authority_bridge', count(*) FROM b WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = o_custkey AND s_nationkey = a) GROUP BY ALL
 """)
 def binding_violations(spark, sf_dir):
     caps = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("jurisdiction_id"),
-        (F.col("o_orderkey") % 25).cast("int").alias("authority_id"))
-    lo = table(spark, sf_dir, "customer").filter("c_custkey % 6 > 0").select(
+        (F.col("o_custkey") + F.when(F.col("o_orderkey") % 6 == 0, 1_000_000_000).otherwise(0))
+        .alias("jurisdiction_id"), (F.col("o_orderkey") % 25).cast("int").alias("authority_id"))
+    lo = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("jurisdiction_id"), F.col("c_nationkey").alias("authority_id"))
     bridges = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("jurisdiction_id"), F.col("s_nationkey").alias("authority_id"),
@@ -484,22 +485,23 @@ def link_keys(spark, sf_dir):
 
 
 @query("county_starts", """
-WITH lo AS (SELECT DISTINCT c_nationkey AS st, 'place ' || CAST(c_custkey AS VARCHAR) AS nm FROM customer WHERE c_custkey % 3 = 0),
-h AS (SELECT st, count(*) AS n FROM lo GROUP BY ALL),
+WITH lo AS (SELECT DISTINCT c_nationkey AS st, 'place ' || CAST(c_custkey AS VARCHAR) AS nm FROM customer),
 g AS (SELECT o_custkey % 25 AS st, 'place ' || CAST(o_custkey AS VARCHAR) AS nm, min(lpad(CAST(o_orderkey AS VARCHAR), 5, '0')) AS geo FROM orders GROUP BY ALL),
 r AS (SELECT g.*, row_number() OVER (PARTITION BY g.st ORDER BY geo) AS rk FROM g LEFT JOIN lo ON lo.st = g.st AND lo.nm = g.nm WHERE lo.nm IS NULL AND g.st % 4 > 0)
-SELECT 'us:' || CAST(r.st AS VARCHAR) || ':census-county:' || geo AS jurisdiction_id FROM r LEFT JOIN h USING (st) WHERE rk <= 40 - coalesce(n, 0)
+SELECT 'us:' || CAST(r.st AS VARCHAR) || ':census-county:' || geo AS jurisdiction_id FROM r WHERE rk <= 40
 """)
 def county_starts(spark, sf_dir):
-    lo = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(
+    lo = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").cast("string").alias("state"),
         F.concat(F.lit("Place "), F.col("c_custkey"), F.lit(" County")).alias("canonical_name"))
     gz = table(spark, sf_dir, "orders").select(
         (F.col("o_custkey") % 25).cast("string").alias("USPS"),
         F.lpad(F.col("o_orderkey").cast("string"), 5, "0").alias("GEOID"),
         F.concat(F.lit("PLACE "), F.col("o_custkey"), F.lit(" Parish")).alias("NAME"))
-    de = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("string").alias("state"), F.lit(40).alias("expected_primary_units"),
+    named = lo.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    de = table(spark, sf_dir, "nation").withColumn(
+        "state", F.col("n_nationkey").cast("string")).join(named, "state", "left").select(
+        "state", (F.coalesce("n", F.lit(0)) + 40).cast("int").alias("expected_primary_units"),
         F.when(F.col("n_nationkey") % 4 > 0, "county").otherwise("town").alias("authority_model"))
     return G.county_starts(gz, lo, de).select("jurisdiction_id")
 
