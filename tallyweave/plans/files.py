@@ -497,3 +497,71 @@ SELECT 's' || CAST(k AS VARCHAR) AS source_id, 'c' || CAST(n AS VARCHAR) AS choi
 def accepted_captures(spark, sf_dir):
     return I.judge_captures(_judged(spark, sf_dir), _judge_context())[0].select(
         "source_id", "choice_name", "votes")
+
+
+_SET_SQL = """
+l AS (SELECT l_orderkey AS k, l_linenumber AS n, min(CAST(l_quantity AS BIGINT)) AS v, min(l_returnflag) AS f FROM lineitem GROUP BY ALL)
+"""
+
+
+def _page_sets(spark, sf_dir):
+    """Each order is a summary, each of its lines a page of it. Pages of flag R were never captured,
+    those of flag N twice, the first time with other counts; pages of 7 units have no rows."""
+    li = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(
+        F.min(F.col("l_quantity").cast("long")).alias("v"), F.min("l_returnflag").alias("f"))
+    at = F.concat(F.lit("https://x.example.org/s/"), F.col("k"))
+    name = F.concat_ws("-", "k", "n")
+    link = F.concat(F.lit('<a href="precinctreport?id='), name, F.lit('">p</a>'))
+    docs = li.groupBy("k").agg(F.array_join(F.array_sort(F.collect_list(link)), "").alias("t"),
+                               F.count(F.lit(1)).alias("c"))
+    summaries = docs.select(F.concat(at, F.lit("/summary")).alias("url"), F.concat(
+        F.lit("<p>Total Precincts: "), F.col("c"), F.lit("</p>"), F.col("t")).alias("body"))
+
+    def page(v, time):
+        row = F.concat(F.lit('<tr><td class="headertr">Race</td><td>d</td></tr><tr><td>c</td><td>'), v,
+                       F.lit("</td><td>"), v * 2, F.lit("</td><td>"), v * 3, F.lit("</td><td>"),
+                       v * 6, F.lit("</td></tr>"))
+        return F.struct(F.lit(time).cast("timestamp").alias("fetched_at"), F.concat(
+            F.lit("<h2>Unit "), name, F.lit("</h2><table>"),
+            F.when(F.col("v") != 7, row).otherwise(""), F.lit("</table>")).alias("body"))
+
+    second = page(F.col("v"), "2026-11-03 02:00:00")
+    captures = F.when(F.col("f") == "N", F.array(second, page(F.col("v") + 1, "2026-11-03 01:00:00"))
+                      ).when(F.col("f") == "A", F.array(second))
+    pages = li.select(F.concat(at, F.lit("/precinctreport?id="), name).alias("url"),
+                      F.inline(captures))
+    ctx = R.Context(F.lit("2026"), F.lit("us:mi:county:x"), F.col("set_url"), F.col("fetched_at"),
+                    F.lit("certified"), F.sha2("body", 256))
+    return R.page_set_results(summaries, pages, ctx)
+
+
+@query("page_set_results", f"""
+WITH {_SET_SQL}
+SELECT 'https://x.example.org/s/' || CAST(k AS VARCHAR) || '/summary' AS set_url, 'Unit ' || CAST(k AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS unit,
+  m.m AS vote_mode, v * m.f AS votes FROM l, (VALUES ('early', 1), ('absentee', 2), ('election_day', 3), ('total', 6)) m(m, f)
+WHERE l.f <> 'R' AND v <> 7
+""")
+def page_set_results(spark, sf_dir):
+    return _page_sets(spark, sf_dir)[0].select(
+        F.col("source_id").alias("set_url"), F.col("reporting_unit_name").alias("unit"),
+        "vote_mode", "votes")
+
+
+@query("page_sets", f"""
+WITH {_SET_SQL}
+SELECT 'https://x.example.org/s/' || CAST(k AS VARCHAR) || '/summary' AS set_url, count(*) AS linked_pages, count(*) FILTER (f <> 'R') AS captured_pages,
+  count(*) FILTER (f <> 'R' AND v <> 7) AS parsed_pages, count(*) AS precincts_total, bool_and(f <> 'R' AND v <> 7) AS complete FROM l GROUP BY ALL
+""")
+def page_sets(spark, sf_dir):
+    return _page_sets(spark, sf_dir)[1].select(
+        "set_url", "linked_pages", "captured_pages", "parsed_pages", "precincts_total", "complete")
+
+
+@query("missing_set_pages", f"""
+WITH {_SET_SQL}
+SELECT 'https://x.example.org/s/' || CAST(k AS VARCHAR) || '/summary' AS set_url,
+  'https://x.example.org/s/' || CAST(k AS VARCHAR) || '/precinctreport?id=' || CAST(k AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS url FROM l WHERE f = 'R'
+""")
+def missing_set_pages(spark, sf_dir):
+    return _page_sets(spark, sf_dir)[2]

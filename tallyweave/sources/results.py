@@ -483,10 +483,42 @@ def summary_page(df: DataFrame, url: str, body: str) -> DataFrame:
         N.report_time(F.col("_text")).alias("source_timestamp"))
 
 
-def linked_unit_pages(summaries: DataFrame, pages: DataFrame, ctx_columns: list[str]) -> DataFrame:
-    """Captured pages that a summary links to, with the summary's context."""
-    links = summaries.select(*ctx_columns, F.explode("precinct_urls").alias("url"))
-    return links.join(pages, "url")
+def page_set_results(summaries: DataFrame, pages: DataFrame, ctx: Context, url: str = "url",
+                     body: str = "body", fetched: str = "fetched_at") -> tuple[
+                         DataFrame, DataFrame, DataFrame]:
+    """Facts of all unit pages that a summary links to, by summary (S22, from S10 and S7).
+
+    ``summaries`` has one capture per ``url``; of each page the last capture is read, found by its address
+    as the summary's links resolve to it. ``ctx`` is evaluated on pages with the columns ``set_url``,
+    ``url``, ``body`` and ``fetched_at``; its source must be ``set_url``. Returns the facts; per set the numbers of linked,
+    captured and parsed pages, the totals it states, and whether it is complete; and the linked pages that
+    no capture holds. Captures are unique by address, time and bytes.
+    """
+    heads = summary_page(summaries.select(url, body), url, body)
+    links = heads.select(F.col(url).alias("set_url"), F.explode("precinct_urls").alias("url"))
+    # The last capture is chosen by its digest, so that bodies are joined once and never aggregated.
+    own = pages.select(F.col(url).alias("url"), F.col(fetched).alias("fetched_at"),
+                       F.col(body).alias("body"), F.sha2(body, 256).alias("_digest"))
+    last = own.groupBy("url").agg(F.max(F.struct("fetched_at", "_digest")).alias("_last"))
+    found = links.join(last, "url", "left")
+    held = found.filter("_last is not null").select(
+        "set_url", "url", F.col("_last.fetched_at").alias("fetched_at"),
+        F.col("_last._digest").alias("_digest")).join(own, ["url", "fetched_at", "_digest"])
+    facts = heading_page(held.drop("_digest"), "body", ctx)
+    parsed = facts.groupBy(F.col("source_id").alias("set_url")).agg(
+        F.count_distinct("snapshot_sha256").alias("parsed_pages"))
+    counts = found.groupBy("set_url").agg(
+        F.count(F.lit(1)).alias("linked_pages"),
+        F.count("_last").alias("captured_pages"))
+    sets = heads.withColumnRenamed(url, "set_url").join(counts, "set_url", "left").join(
+        parsed, "set_url", "left")
+    n = {c: F.coalesce(c, F.lit(0)) for c in ("linked_pages", "captured_pages", "parsed_pages")}
+    complete = ((n["linked_pages"] > 0) & (n["captured_pages"] == n["linked_pages"])
+                & (n["parsed_pages"] == n["linked_pages"])
+                & F.coalesce(F.col("precincts_total") == n["linked_pages"], F.lit(False)))
+    sets = sets.select("set_url", *[v.alias(c) for c, v in n.items()], "precincts_total",
+                       "precincts_counted", "source_timestamp", complete.alias("complete"))
+    return facts, sets, found.filter("_last is null").select("set_url", "url")
 
 
 # Line patterns of text reports.
