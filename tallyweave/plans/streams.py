@@ -130,10 +130,7 @@ def stream_ledger(spark, sf_dir):
         (F.col("k") * 1_000_000_000 + F.col("event_id")).alias("arrival"))
     _run_rounds(checks, root, "arrival", 3, lambda stream: stream.writeStream.foreachBatch(
         lambda df, n: feeds.ledger_batch(spark, df, n, root, ["user_id"], "at", "arrival")))
-    ledger = spark.read.parquet(f"{root}/ledger")
-    newest = ledger.agg(F.max("batch").alias("_b"))
-    # One row: the newest ledger version.
-    return ledger.join(F.broadcast(newest), F.col("batch") == F.col("_b")).drop("batch", "_b")
+    return feeds.current_ledger(spark, root, ["user_id"])
 
 
 @query("stream_page_events", f"""

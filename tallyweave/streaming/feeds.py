@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyweave.operators import history, observations as O
 from tallyweave.session import write_once
+from tallyweave.streaming.current import CurrentTable
 
 FACT_COLUMNS = ["source_id", "config", "captured_at", "sha256", *O.CAPTURE_KEY, "votes"]
 
@@ -179,14 +180,21 @@ def accept_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
             cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
         chosen = facts.join(mark.select(*[F.col(c).alias(f"_k_{c}") for c in same]), cond,
                             "left_semi")
-        _accept_round(spark, chosen, mark.drop("_round"), batch_id * MAX_ROUNDS + number, root,
-                      cumulative)
+        _accept_round(spark, chosen, mark.drop("_round"), batch_id * MAX_ROUNDS + number,
+                      batch_id * MAX_ROUNDS, root, cumulative)
 
 
-def _accept_round(spark: SparkSession, facts: DataFrame, marks: DataFrame, step: int, root: str,
-                  cumulative: bool) -> None:
-    """Judge at most one capture per source and add it to the attempts and accepted tables."""
-    before = accepted_baseline(spark, root, below=step)
+def _baseline(spark: SparkSession, root: str) -> CurrentTable:
+    return CurrentTable(spark, f"{root}/accepted", ["source_id"])
+
+
+def _accept_round(spark: SparkSession, facts: DataFrame, marks: DataFrame, step: int, since: int,
+                  root: str, cumulative: bool) -> None:
+    """Judge at most one capture per source, log it, and let it replace its source's baseline if
+    accepted. Only the parts of the baseline that hold these sources are read and written."""
+    table = _baseline(spark, root)
+    touched = table.touched(marks)
+    before = table.read(step, touched)
     if before is None:
         before = facts.limit(0)
     config = marks.select("source_id", F.col("config").alias("_config"))
@@ -199,18 +207,14 @@ def _accept_round(spark: SparkSession, facts: DataFrame, marks: DataFrame, step:
     ok = spark.read.schema(verdicts.schema).parquet(
         f"{root}/attempts/batch={step:015d}").filter("status = 'ok'")
     accepted = facts.join(ok.select("source_id"), "source_id", "left_semi")
-    accepted.write.mode("overwrite").parquet(f"{root}/accepted/batch={step:015d}")
+    kept = before.join(ok.select("source_id"), "source_id", "left_anti")
+    table.replace(step, kept.unionByName(accepted).select(*FACT_COLUMNS), touched, since)
 
 
 def accepted_baseline(spark: SparkSession, root: str, below: int | None = None
                       ) -> DataFrame | None:
     """Rows of each source's last accepted capture (T5); null before the first batch."""
-    rows = _table(spark, f"{root}/accepted", below)
-    if rows is None:
-        return None
-    last = rows.groupBy("source_id").agg(F.max("batch").alias("_last"))
-    return rows.join(last, "source_id").filter(F.col("batch") == F.col("_last")).select(
-        *FACT_COLUMNS)
+    return _baseline(spark, root).read(below)
 
 
 def stream_accept(spark: SparkSession, captures: DataFrame, root: str, checkpoint: str,
@@ -234,15 +238,12 @@ def ledger_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
                  keys: list[str], at: str, arrival: str) -> None:
     """Fold one micro-batch into the source ledger, refusing rows older than the ledger.
 
-    Refused rows go to a side table. Each batch writes a new ledger version and reads the one
-    before it, so a repeated batch gives the same version again.
+    Refused rows go to a side table. Only the parts of the ledger that hold the batch's keys are read and
+    written; a repeated batch starts from the ledger before it and gives the same again.
     """
-    current = None
-    versions = _table(spark, f"{root}/ledger", below=batch_id)
-    if versions is not None:
-        newest = versions.agg(F.max("batch")).first()[0]
-        if newest is not None:
-            current = versions.filter(F.col("batch") == newest).drop("batch")
+    table = CurrentTable(spark, f"{root}/ledger", keys)
+    touched = table.touched(batch)
+    current = table.read(batch_id, touched)
     rows = history.out_of_order(batch, keys, at, arrival)
     if current is not None:
         seen = current.select(*keys, F.col("last_checked_at").alias("_seen"))
@@ -252,4 +253,9 @@ def ledger_batch(spark: SparkSession, batch: DataFrame, batch_id: int, root: str
     rows.filter("refused").write.mode("overwrite").parquet(f"{root}/refused/batch={batch_id:09d}")
     fold = history.fold_ledger(rows.filter("not refused"), keys, at, arrival)
     merged = fold if current is None else history.merge_ledger(current, fold, keys)
-    merged.write.mode("overwrite").parquet(f"{root}/ledger/batch={batch_id:09d}")
+    table.replace(batch_id, merged, touched, batch_id)
+
+
+def current_ledger(spark: SparkSession, root: str, keys: list[str]) -> DataFrame | None:
+    """The source ledger as of the last batch; null before the first."""
+    return CurrentTable(spark, f"{root}/ledger", keys).read()
