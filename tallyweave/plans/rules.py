@@ -9,7 +9,7 @@ from tallyweave.functions import ids, urls as U, values as N
 from tallyweave.operators import catalog as K, quality as Q
 from tallyweave.plans.registry import query
 from tallyweave.plans.views import captured_pages, observations, table
-from tallyweave.sources import captures as S
+from tallyweave.sources import captures as S, dispatch as D, results as R
 from tallyweave.sources import registry as G
 
 
@@ -529,27 +529,39 @@ def replay_checks(spark, sf_dir):
 
 
 @query("execution_evidence", """
-WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS p, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'A') AS n FROM orders)
+WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS p, CASE WHEN o_orderpriority < '2' OR o_orderpriority LIKE '3%'
+    THEN (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) ELSE 0 END AS n FROM orders)
 SELECT k, CASE p WHEN '1-URGENT' THEN 'nested_json' WHEN '2-HIGH' THEN 'download_links' WHEN '3-MEDIUM' THEN 'wide_csv' WHEN '4-NOT SPECIFIED' THEN 'nested_json' ELSE 'unknown' END AS parser,
   CASE p WHEN '2-HIGH' THEN 2 WHEN '5-LOW' THEN 3 WHEN '4-NOT SPECIFIED' THEN 3 ELSE CASE WHEN n > 0 THEN 6 ELSE 4 END END AS stage, n AS observation_count,
+  CASE WHEN n > 0 THEN p LIKE '3%' END AS vote_modes_preserved,
   CASE p WHEN '2-HIGH' THEN 'requires_download_artifact_selection' WHEN '5-LOW' THEN 'parser_not_executable' WHEN '4-NOT SPECIFIED' THEN 'invalid_json_payload'
     ELSE CASE WHEN n > 0 THEN '' ELSE 'no_normalized_observations' END END AS failure_class FROM o
 """)
 def execution_evidence(spark, sf_dir):
-    p = F.col("o_orderpriority")
-    text = lambda s: F.to_binary(F.lit(s), F.lit("utf-8"))
-    captures = table(spark, sf_dir, "orders").select(
+    """Each order is a capture of its lines, as JSON or CSV, or of another body, by its priority."""
+    p, v = F.col("o_orderpriority"), F.col("l_quantity").cast("long")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(
+        F.concat(F.lit('{"name":"c'), F.col("l_linenumber"), F.lit('","votes":'), v, F.lit("}"))
+        .alias("json"), F.concat(F.lit("u,r,c"), F.col("l_linenumber"), F.lit(","), v).alias("csv"))
+        .alias("x")).groupBy("l_orderkey").agg(F.collect_list("x").alias("x"))
+    o = table(spark, sf_dir, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    x = F.coalesce("x", F.array().cast("array<struct<json:string,csv:string>>"))
+    json_ = F.concat(F.lit(' {"reporting_units":[{"name":"u","contests":[{"name":"r","choices":['),
+                     F.array_join(x["json"], ","), F.lit("]}]}]}"))
+    csv = F.concat(F.lit("precinct,race,choice,mail\n"), F.array_join(x["csv"], "\n"))
+    captures = o.select(
         F.lit("x").alias("state"), F.col("o_orderkey").cast("string").alias("result_url"),
         F.lit("web").alias("access_family"),
         F.when(p == "2-HIGH", "download_links").when(p == "4-NOT SPECIFIED", "nested_json")
         .otherwise("unknown").alias("route"),
-        F.when(p == "1-URGENT", text("[1]")).when(p == "3-MEDIUM", text("a,b,c"))
-        .otherwise(text("zz")).alias("content"), F.lit("unknown").alias("smallest_observed_unit"))
-    facts = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A'").select(
-        F.col("l_orderkey").cast("string").alias("result_url"), F.lit("mail").alias("raw_vote_mode"))
-    out = S.execution_evidence(captures, facts)
-    return out.select(F.col("result_url").cast("long").alias("k"), "parser", "stage",
-                      "observation_count", "failure_class")
+        F.when(p == "1-URGENT", json_).when(p == "3-MEDIUM", csv).otherwise("zz").cast("binary")
+        .alias("content"), F.lit("unknown").alias("smallest_observed_unit"))
+    ctx = R.Context(F.lit("2026"), F.lit("us:mi:county:x"), F.col("result_url"),
+                    F.lit("2026-11-03").cast("timestamp"), F.lit("certified"),
+                    F.sha2("content", 256))
+    return D.execute(captures, ctx)[0].select(
+        F.col("result_url").cast("long").alias("k"), "parser", "stage", "observation_count",
+        "vote_modes_preserved", "failure_class")
 
 
 @query("capture_replay", """

@@ -80,6 +80,16 @@ DIGEST_COLUMNS = ["election_id", "jurisdiction_id", "reporting_unit_id", "contes
                   "snapshot_sha256"]
 
 
+def with_route(captures: DataFrame) -> DataFrame:
+    """Add ``_kind``, what the bytes are, and ``_route``: the given route, or if that cannot be executed
+    the one of the kind."""
+    rows = captures.withColumn("_kind", R.payload_kind(F.col("content")))
+    sniffed = C.payload_route(F.col("_kind"))["route"]
+    executable = F.col("route").isin(C.EXECUTABLE)
+    return rows.withColumn("_route", F.when(
+        executable | (sniffed == ""), F.col("route")).otherwise(sniffed))
+
+
 def execution_evidence(captures: DataFrame, facts: DataFrame) -> DataFrame:
     """Stage, failure and counts of every routed capture.
 
@@ -91,13 +101,7 @@ def execution_evidence(captures: DataFrame, facts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("observation_count"),
         F.bool_or(~F.coalesce("raw_vote_mode", F.lit("")).isin("", "total", "votes"))
         .alias("vote_modes_preserved"))
-    kind = R.payload_kind(F.col("content"))
-    rows = captures.join(counts, "result_url", "left").withColumn("_kind", kind)
-    sniffed = C.payload_route(F.col("_kind"))
-    executable = F.col("route").isin(C.EXECUTABLE)
-    route = F.when(executable, F.col("route")).when(sniffed["route"] != "", sniffed["route"]) \
-        .otherwise(F.col("route"))
-    rows = rows.withColumn("_route", route)
+    rows = with_route(captures).join(counts, "result_url", "left")
     can = F.col("_route").isin(C.EXECUTABLE)
     n = F.coalesce("observation_count", F.lit(0))
     bad_json = (F.col("_route") == "nested_json") & (F.col("_kind") != "json")
