@@ -10,6 +10,7 @@ from tallyweave.operators import observations as O
 from tallyweave.operators import quality as Q
 from tallyweave.operators.history import progress_findings
 from tallyweave.sources import results as R
+from tallyweave.sources.commit import add_rows, committed
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
@@ -33,6 +34,13 @@ def land(captures: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("prefix").parquet(path)
 
 
+def land_once(captures: DataFrame, folder: str) -> None:
+    """Add the captures whose bytes a folder does not hold yet (S16); running it again adds nothing."""
+    landed = committed(captures.sparkSession, folder)
+    fresh = new_captures(captures, captures.limit(0) if landed is None else landed)
+    add_rows(fresh, folder)
+
+
 def tampered(landed: DataFrame) -> DataFrame:
     """Landed captures whose bytes no longer give their hash."""
     return landed.filter(F.sha2("content", 256) != F.col("sha256")).select(

@@ -12,6 +12,7 @@ from tallyweave import schemas
 from tallyweave.functions.ids import alias_token
 from tallyweave.functions.values import present
 from tallyweave.operators import observations as O
+from tallyweave.sources.commit import add_rows, replace_rows
 
 # Authority models whose units are counties.
 COUNTY_MODELS = ["county", "county+state", "county+independent-city",
@@ -71,7 +72,7 @@ def _cells(df: DataFrame) -> DataFrame:
 
 def write_registry(df: DataFrame, path: str, order: list[Column | str]) -> None:
     """Sorted CSV parts with fixed columns (S18); range partitions keep the order across parts."""
-    _cells(df.orderBy(*order)).write.mode("overwrite").csv(path, header=True, emptyValue="")
+    replace_rows(_cells(df.orderBy(*order)), path, "csv")
 
 
 def write_identity_aliases(df: DataFrame, path: str) -> None:
@@ -87,24 +88,24 @@ def write_identity_aliases(df: DataFrame, path: str) -> None:
 def write_integrity(path: str, *, reconciliation: DataFrame, deltas: DataFrame,
                     facts: DataFrame) -> None:
     """Reconciliation, deltas and a summary row as JSON tables under one folder."""
-    reconciliation.write.mode("overwrite").json(f"{path}/reconciliation")
-    deltas.write.mode("overwrite").json(f"{path}/deltas")
+    replace_rows(reconciliation, f"{path}/reconciliation", "json")
+    replace_rows(deltas, f"{path}/deltas", "json")
     summary = facts.agg(F.count(F.lit(1)).alias("observations")).crossJoin(
         reconciliation.agg(F.count(F.lit(1)).alias("reconciliation_rows"),
                            F.count_if(~F.col("reconciles")).alias("unreconciled_rows"))
     ).crossJoin(deltas.agg(F.count(F.lit(1)).alias("deltas")))
-    summary.write.mode("overwrite").json(f"{path}/summary")
+    replace_rows(summary, f"{path}/summary", "json")
 
 
 def write_replay(facts: DataFrame, path: str, columns: list[str]) -> None:
     """Canonical rows beside a digest row."""
-    facts.write.mode("overwrite").parquet(f"{path}/rows")
-    O.table_digest(facts, columns).write.mode("overwrite").json(f"{path}/digest")
+    replace_rows(facts, f"{path}/rows")
+    replace_rows(O.table_digest(facts, columns), f"{path}/digest", "json")
 
 
 def append_events(events: DataFrame, path: str) -> None:
-    """Append-only event journal."""
-    events.write.mode("append").parquet(path)
+    """Append-only event journal (S20); a batch that is written again adds nothing."""
+    add_rows(events, path)
 
 
 def read_gazetteer(spark: SparkSession, path: str, delimiter: str = "\t") -> DataFrame:
