@@ -485,3 +485,21 @@ def administrative_keys(*levels: str) -> Column:
     pairs = [F.when(F.coalesce(F.col(l), F.lit("")) != "",
                     F.struct(F.lit(l).alias("level"), F.col(l).alias("key"))) for l in levels]
     return F.array_compact(F.array(*pairs))
+
+
+def harvested_family(url: Column) -> Column:
+    """Family and parser route of a harvested source by its address (D3); blank where unknown."""
+    where, to = host(url), F.lower(path(url))
+    # Parts of hosts and paths, in order.
+    return (
+        F.when(where.contains("clarityelections.com"), _route("clarity", "clarity"))
+        .when(to.contains("/results/public/") | where.contains("electionresults.")
+              | where.contains("results.") | where.startswith("enr."), _route("results_portal", ""))
+        .when(to.endswith(".csv") | to.contains("export") | to.contains("mediafiles"),
+              _route("tabular_export", "wide_csv"))
+        .when(to.endswith(".xlsx") | to.endswith(".xls"), _route("tabular_export", "wide_sheet"))
+        .when(to.endswith(".pdf"), _route("document", "document_text"))
+        .when(where.endswith(".gov") | where.contains(".gov.") | where.endswith(".us"),
+              _route("official_web", ""))
+        .otherwise(_route("unknown", ""))
+    )

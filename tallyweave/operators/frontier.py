@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.functions import classify as C
 from tallyweave.functions import urls as U
 from tallyweave.operators.sliced import count_since_last
+from tallyweave.session import bind
 
 QUIET = "completed_no_new_urls"
 FOUND = "observed_link_candidate"
@@ -278,3 +282,29 @@ def directory_seeds(links: DataFrame, order: str) -> DataFrame:
         "snapshot_sha256", F.lit("directory_inspection_lead").alias("page_role"),
         "match_basis", order)
     return keep_last(rows, ["url", "state", "unit", "observed_from", "snapshot_sha256"], order)
+
+
+def harvested_sources(catalogs: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """Leads of several catalogs as one, by the order of the catalogs (D3).
+
+    A catalog is its origin, its rows with a state, the column of the address and one of the row order.
+    Of equal states and addresses the first catalog's first row counts; only web addresses do.
+    """
+    parts = []
+    for rank, (origin, rows, url, at) in enumerate(catalogs):
+        parts.append(rows.select("state", F.trim(url).alias("source_url"),
+                                 F.lit(origin).alias("source_origin"),
+                                 F.struct(F.lit(rank).alias("rank"), F.col(at).cast("long").alias("at"))
+                                 .alias("_order")))
+    union = reduce(DataFrame.unionByName, parts).filter(
+        F.col("source_url").rlike("^https?://"))
+    first = keep_first(union, ["state", "source_url"], "_order").drop("_order")
+    first = bind(first, _route=C.harvested_family(F.col("source_url")))
+    parser = F.col("_route.route")
+    # Every parser that the table names can be run as an adapter.
+    stage = F.when(parser != "", "adapter_candidate").otherwise("needs_family_probe")
+    return first.select(
+        "state", "source_url", "source_origin", F.lit("candidate").alias("verification_status"),
+        F.lit("untested").alias("fetch_status"), F.col("_route.family").alias("platform_family"),
+        parser.alias("parser_family"), stage.alias("execution_stage"),
+        F.when(parser != "", "existing_adapter_family").otherwise("").alias("notes"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyweave.operators import catalog as K, coverage as V, links as L
-from tallyweave.plans.registry import query
+from tallyweave.operators.ordered import priority_queue
+from tallyweave.plans.registry import ORACLES, QUERIES, query
 from tallyweave.plans.views import CP_SQL, captured_pages, table
 
 # Customers are units of a nation; orders are dated capabilities of customers.
@@ -623,3 +624,17 @@ def candidate_associations(spark, sf_dir):
     seeds = pages.select("url", (F.col("page_id") % 3).alias("jurisdiction_id"))
     state = pages.select("url", F.lit("fetched_unverified").alias("verification_status"))
     return K.candidate_associations(_catalog(spark, sf_dir), seeds, state)
+
+
+@query("priority_queues", f"""
+SELECT 'depth' AS queue, CAST(state AS VARCHAR) AS state, depth_priority AS priority, row_number() OVER (ORDER BY depth_priority DESC, state) AS queue_position FROM ({ORACLES["depth_matrix"]})
+UNION ALL SELECT 'gap', CAST(state AS VARCHAR), gap_priority, row_number() OVER (ORDER BY gap_priority DESC, state) FROM ({ORACLES["corpus_gaps"]})
+""")
+def priority_queues(spark, sf_dir):
+    parts = []
+    for name, source, priority in (("depth", "depth_matrix", "depth_priority"),
+                                   ("gap", "corpus_gaps", "gap_priority")):
+        queue = priority_queue(QUERIES[source](spark, sf_dir), priority)
+        parts.append(queue.select(F.lit(name).alias("queue"), F.col("state").cast("string"),
+                                  F.col(priority).alias("priority"), "queue_position"))
+    return parts[0].unionByName(parts[1])

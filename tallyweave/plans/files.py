@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.plans.registry import query
 from tallyweave.plans.views import table
+from tallyweave.sources import crosscheck as X
 from tallyweave.sources import intake as I
 from tallyweave.sources import results as R
 
@@ -565,3 +566,54 @@ SELECT 'https://x.example.org/s/' || CAST(k AS VARCHAR) || '/summary' AS set_url
 """)
 def missing_set_pages(spark, sf_dir):
     return _page_sets(spark, sf_dir)[2]
+
+
+@query("payload_crosscheck", """
+WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, min(CAST(l_quantity AS BIGINT)) AS v FROM lineitem GROUP BY ALL),
+s AS (SELECT k, CASE WHEN k % 11 = 0 THEN 'duplicate_candidate' WHEN k % 7 = 0 THEN 'candidate_context_mismatch' WHEN k % 5 = 0 THEN 'totals_disagree' ELSE 'crosschecked' END AS status,
+  count(*) FILTER (NOT (n = 1 AND (k % 7 = 0 OR k % 5 = 0))) AS matched_keys, CAST(coalesce(sum(4 * v + 6) FILTER (NOT (n = 1 AND (k % 7 = 0 OR k % 5 = 0))), 0) AS BIGINT) AS matched_votes
+  FROM l GROUP BY ALL)
+SELECT k, status, CASE WHEN status <> 'duplicate_candidate' THEN matched_keys END AS matched_keys, CASE WHEN status <> 'duplicate_candidate' THEN matched_votes END AS matched_votes
+FROM s WHERE k IN (SELECT k FROM l WHERE n = 1)
+""")
+def payload_crosscheck(spark, sf_dir):
+    """Each order with a first line is a state: its lines as a table page and as a district file.
+
+    The file lacks the first candidate where 7 divides the order, has one vote more where 5 does, and names
+    it twice, in two districts, where 11 does.
+    """
+    li = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(
+        F.min(F.col("l_quantity").cast("long")).alias("v"))
+    k, n, v = F.col("k"), F.col("n"), F.col("v")
+    cells = lambda parts: F.concat(F.lit("<tr>"), *[
+        F.concat(F.lit("<td>"), x, F.lit("</td>")) for x in parts], F.lit("</tr>"))
+    name = F.concat(F.lit("c"), n)
+    line = cells([name, F.lit("Democratic"), *[(v + i).cast("string") for i in range(4)],
+                  (4 * v + 6).cast("string"), F.lit("5%")])
+    counts = F.concat_ws(",", *[F.lit("0")] * 6, (4 * v).cast("string"), F.when(
+        (n == 1) & (k % 5 == 0), "7").otherwise("6"))
+    row = lambda county, district: F.concat(
+        F.lit(f"{county},All,Governor / Lt. Governor,{district},"), name, F.lit(",DEM,"), counts,
+        F.lit("\n"))
+    files = F.when((n == 1) & (k % 7 == 0) & (k % 11 > 0), "").when(
+        (n == 1) & (k % 11 == 0), F.concat(row("00", ""), row("00", "1"))).otherwise(
+        F.concat(row("00", ""), row("01", "")))
+    own = li.groupBy("k").agg(
+        F.array_sort(F.collect_list(F.struct("n", line.alias("t"), files.alias("f")))).alias("x"),
+        F.sum("v").alias("s"), F.count(F.lit(1)).alias("c"), F.min("n").alias("first"))
+    own = own.filter("first = 1")
+    head = cells([F.lit(h) for h in R.STATEWIDE_HEADER])
+    total = cells([F.lit("Totals"), F.lit(""),
+                   *[(F.col("s") + F.col("c") * i).cast("string") for i in range(4)],
+                   (F.col("s") * 4 + F.col("c") * 6).cast("string"), F.lit("100%")])
+    pages = own.select("k", F.concat(F.lit("<table>"), head, F.array_join(F.col("x")["t"], ""),
+                                     total, F.lit("</table>")).alias("body"))
+    columns = ["County", "County Name", "Office Name", "Office District", "Candidate Name", "Party",
+               *R.DISTRICTS]
+    csvs = own.select("k", F.concat(F.lit(",".join(c + " " for c in columns) + "\n"),
+                                    F.array_join(F.col("x")["f"], "")).alias("body"))
+    out = X.payload_crosscheck(pages, csvs, "k", "Governor / Lt. Governor", "Democratic", "DEM")
+    clear = F.col("status") != "duplicate_candidate"
+    return out.select("k", "status", *[F.when(clear, F.col(c)).alias(c)
+                                       for c in ("matched_keys", "matched_votes")])

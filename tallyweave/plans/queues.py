@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyweave.operators import frontier as Q, graph as G, overlap as M
 from tallyweave.functions import classify as C
 from tallyweave.operators import links as L
+from tallyweave.operators import ordered as R
 from tallyweave.plans.registry import query
 from tallyweave.plans.views import CP_SQL, O_SQL, captured_pages, observations, table
 
@@ -511,3 +512,44 @@ def monitoring_seeds(spark, sf_dir):
         F.max("t").alias("last_success_at"))
     return Q.monitoring_seeds(seeds, cands, _frontier(spark, sf_dir), pages,
                               F.lit(1706600000).cast("long"))
+
+
+@query("frontier_export", f"""
+WITH {_FRONTIER_SQL},
+d AS (SELECT u, st, row_number() OVER (PARTITION BY st ORDER BY last, u) AS turn FROM fr WHERE 1706600000 >= due),
+s AS (SELECT st, max(last) AS latest FROM fr GROUP BY ALL),
+t AS (SELECT u, row_number() OVER (ORDER BY turn, latest, st) AS queue_turn FROM d JOIN s USING (st))
+SELECT u AS jurisdiction_id, st AS state, row_number() OVER (ORDER BY st, u) AS position, CASE WHEN queue_turn <= 20 THEN queue_turn END AS queue_turn
+FROM fr LEFT JOIN t USING (u)
+""")
+def frontier_export(spark, sf_dir):
+    return R.frontier_export(_frontier(spark, sf_dir)).select(
+        "jurisdiction_id", "state", "position", "queue_turn")
+
+
+@query("harvested_sources", r"""
+WITH c AS (SELECT 0 AS o, 'first' AS origin, l_orderkey AS r, l_suppkey AS k, l_partkey AS p FROM lineitem WHERE l_returnflag = 'A'
+  UNION ALL SELECT 1, 'second', l_orderkey, l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'N'
+  UNION ALL SELECT 2, 'third', l_orderkey, l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R'),
+u AS (SELECT *, 'S' || CAST(k % 9 AS VARCHAR) AS state, CASE p % 8 WHEN 0 THEN 'https://a.clarityelections.com/' WHEN 1 THEN 'https://x.example.org/Results/Public/' WHEN 2 THEN 'https://enr.example.org/'
+    WHEN 3 THEN 'https://x.example.org/a.CSV?' WHEN 4 THEN 'https://x.example.org/b.xlsx?' WHEN 5 THEN 'http://x.example.gov/c.pdf?' WHEN 6 THEN 'https://x.co.us/' ELSE 'ftp://x.example.org/' END
+    || CAST(p % 40 AS VARCHAR) AS url FROM c),
+f AS (SELECT state, url, arg_min(origin, (o, r)) AS source_origin, any_value(p % 8) AS m FROM u WHERE p % 8 < 7 GROUP BY ALL)
+SELECT state, url AS source_url, source_origin, CASE WHEN m = 0 THEN 'clarity' WHEN m < 3 THEN 'results_portal' WHEN m < 5 THEN 'tabular_export' WHEN m = 5 THEN 'document' ELSE 'official_web' END AS platform_family,
+  CASE m WHEN 0 THEN 'clarity' WHEN 3 THEN 'wide_csv' WHEN 4 THEN 'wide_sheet' WHEN 5 THEN 'document_text' ELSE '' END AS parser_family,
+  CASE WHEN m IN (0, 3, 4, 5) THEN 'adapter_candidate' ELSE 'needs_family_probe' END AS execution_stage FROM f
+""")
+def harvested_sources(spark, sf_dir):
+    heads = ["https://a.clarityelections.com/", "https://x.example.org/Results/Public/",
+             "https://enr.example.org/", "https://x.example.org/a.CSV?", "https://x.example.org/b.xlsx?",
+             "http://x.example.gov/c.pdf?", "https://x.co.us/", "ftp://x.example.org/"]
+    p = F.col("l_partkey")
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey") % 9).alias("state"),
+        F.concat(F.lit(" "), F.element_at(F.array(*[F.lit(h) for h in heads]),
+                                          (p % 8 + 1).cast("int")), p % 40).alias("url"))
+    out = Q.harvested_sources([
+        (origin, rows.filter(F.col("l_returnflag") == flag), "url", "l_orderkey")
+        for origin, flag in (("first", "A"), ("second", "N"), ("third", "R"))])
+    return out.select("state", "source_url", "source_origin", "platform_family", "parser_family",
+                      "execution_stage")

@@ -657,12 +657,18 @@ def payload_kind(body: Column) -> Column:
     )
 
 
+# Columns of district files.
 DISTRICT_KEY = ["County", "Office Name", "Office District", "Candidate Name", "Party"]
 DISTRICTS = [f"Congressional District {i}" for i in range(1, 9)]
 
 
-def district_csv(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Strict wide district file: rows with a district map and sum, and violations."""
+def district_csv(df: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Strict wide district file: rows with a district map and sum, and violations.
+
+    Rows with a violation are in the second table only, all those of a repeated key too. ``keys`` are
+    columns that name the file, where there are several.
+    """
+    keys = keys or []
     trimmed = df.select(*[F.col(f"`{c}`").alias(c.strip()) for c in df.columns])
     required = DISTRICT_KEY + ["County Name"] + DISTRICTS
     missing = sorted(set(required) - set(trimmed.columns))
@@ -673,16 +679,17 @@ def district_csv(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     ragged = F.lit(False)
     for c in required:
         ragged = ragged | F.col(f"`{c}`").isNull()
-    bad = rows.select(
-        *[F.col(f"`{c}`").alias(c) for c in DISTRICT_KEY],
-        F.when(ragged, "malformed_row").when(F.exists("_counts", lambda v: v.isNull()),
-                                             "invalid_count").alias("rule_id"),
-    ).filter("rule_id is not null")
-    twice = trimmed.groupBy(*[F.col(f"`{c}`") for c in DISTRICT_KEY]).agg(
+    named = [*keys, *DISTRICT_KEY]
+    rows = bind(rows, _rule=F.when(ragged, "malformed_row").when(F.exists("_counts", lambda v: v.isNull()),
+                                             "invalid_count"))
+    bad = rows.select(*[F.col(f"`{c}`").alias(c) for c in named],
+                      F.col("_rule").alias("rule_id")).filter("rule_id is not null")
+    twice = trimmed.groupBy(*[F.col(f"`{c}`") for c in named]).agg(
         F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n").withColumn(
         "rule_id", F.lit("duplicate_key"))
-    out = rows.select(
-        F.col("County").alias("county_code"), F.col("`County Name`").alias("county_name"),
+    good = rows.filter("_rule is null").join(twice.drop("rule_id"), named, "left_anti")
+    out = good.select(
+        *keys, F.col("County").alias("county_code"), F.col("`County Name`").alias("county_name"),
         F.col("`Office Name`").alias("contest"), F.col("`Office District`").alias("office_district"),
         F.col("`Candidate Name`").alias("candidate"), F.col("Party").alias("party"),
         F.map_from_arrays(F.array(*[F.lit(d) for d in DISTRICTS]), F.col("_counts"))
