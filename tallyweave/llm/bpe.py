@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -43,11 +44,14 @@ class TreeEncoder(WordCodes):
         lines = map(bytes.split, Path(path).read_bytes().splitlines())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        get = self.ranks.get
+        self.two = [get(bytes((a, b)), NONE) for a in range(256) for b in range(256)]
+        self.bytes = [bytes([b]) for b in range(256)]
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.short: dict[bytes, list[int]] = {}
         self.pairs: dict[int, list[int]] = {}
         self.windows: dict[bytes, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
         super().__init__(self.ranks[b"\n"], CACHE)
 
     def ids(self, text: str) -> np.ndarray:
@@ -61,8 +65,8 @@ class TreeEncoder(WordCodes):
         for piece in set(found) - known.keys():
             data = piece.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(data)
-            known[piece] = self.encode(data) if whole is None else [whole]
-        return np.array([n for piece in found for n in known[piece]], dtype="<u4")
+            known[piece] = array("I", self.encode(data) if whole is None else [whole]).tobytes()
+        return np.frombuffer(b"".join(map(known.__getitem__, found)), dtype="<u4")
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of a byte string by halves."""
@@ -105,9 +109,8 @@ class TreeEncoder(WordCodes):
         """Ids of a window by merging the pair of least rank, the leftmost first."""
         ranks = self.ranks
         if len(data) <= SIMPLE:
-            parts = [data[i:i + 1] for i in range(len(data))]
-            find = ranks.get
-            found = [find(data[i:i + 2], NONE) for i in range(len(data) - 1)]
+            parts, find, two = [self.bytes[b] for b in data], ranks.get, self.two
+            found = [two[a << 8 | b] for a, b in zip(data, data[1:])]
             while found and (least := min(found)) != NONE:
                 i = found.index(least)
                 parts[i] += parts.pop(i + 1)
