@@ -48,6 +48,20 @@ def resolve_aliases(probes: DataFrame, aliases: DataFrame) -> DataFrame:
     return keyed.join(answers, cond, "left").select(*probes.columns, "canonical_id")
 
 
+def resolve_undated(probes: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Canonical id per probe by verified aliases without dates; several ids resolve to null.
+
+    The form of ``resolve_aliases`` for probes that have no date: one aggregate and one join.
+    """
+    timeless = (
+        with_lookup_key(aliases)
+        .filter("status = 'verified' and effective_from is null and effective_to is null")
+        .groupBy(*LOOKUP).agg(F.min("canonical_id").alias("_lo"), F.max("canonical_id").alias("_hi"))
+        .filter("_lo = _hi").select(*LOOKUP, F.col("_lo").alias("canonical_id")))
+    return with_lookup_key(probes).join(timeless, LOOKUP, "left").select(
+        *probes.columns, "canonical_id")
+
+
 def alias_collisions(aliases: DataFrame) -> DataFrame:
     """Verified aliases of one key that give two ids at the same time."""
     verified = with_lookup_key(aliases).filter("status = 'verified'")

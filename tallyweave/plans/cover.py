@@ -511,7 +511,7 @@ def visibility_proxy(spark, sf_dir):
 WITH s AS (SELECT o_custkey AS place, max(CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 END) AS best FROM orders GROUP BY ALL),
 c AS (SELECT c_custkey AS place, CAST(floor(abs(c_acctbal)) AS BIGINT) AS p FROM customer)
 SELECT CAST(sum(p) FILTER (best >= 1) AS BIGINT) AS "any", CAST(sum(p) FILTER (best >= 2) AS BIGINT) AS municipality_or_finer, CAST(sum(p) FILTER (best >= 3) AS BIGINT) AS precinct_or_finer,
-  CAST(sum(p) FILTER (s.place IS NOT NULL AND best IS NULL) AS BIGINT) AS unknown_resolution, CAST(sum(p) AS BIGINT) AS total FROM c LEFT JOIN s USING (place)
+  CAST(coalesce(sum(p) FILTER (s.place IS NOT NULL AND best IS NULL), 0) AS BIGINT) AS unknown_resolution, CAST(sum(p) AS BIGINT) AS total FROM c LEFT JOIN s USING (place)
 """)
 def covered_population(spark, sf_dir):
     places = table(spark, sf_dir, "customer").select(

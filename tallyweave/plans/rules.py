@@ -528,6 +528,53 @@ def replay_checks(spark, sf_dir):
         "source_id", "altered", F.coalesce("d", F.lit(0)).cast("int").alias("double_counts"))
 
 
+@query("replay_refusals", """
+WITH c AS (SELECT c_custkey AS k FROM customer),
+f AS (SELECT k, 'snapshot_digest_mismatch' AS rule_id FROM c WHERE k % 7 = 0
+  UNION ALL SELECT k, CASE k % 4 WHEN 2 THEN CASE WHEN k % 8 = 6 THEN 'identity_unresolved' ELSE 'identity_not_self' END ELSE 'identity_unresolved' END FROM c WHERE k % 4 >= 2
+  UNION ALL SELECT k, 'night_regime_needs_night_source' FROM c WHERE k % 10 = 0
+  UNION ALL SELECT k, 'final_regime_needs_final_source' FROM c WHERE k % 10 = 6)
+SELECT 's' || CAST(k AS VARCHAR) AS source_id, rule_id, CAST(NULL AS BIGINT) AS row_count FROM f
+UNION ALL SELECT 's' || CAST(o_custkey AS VARCHAR), 'digest', count(*) FROM orders JOIN c ON k = o_custkey WHERE o_custkey NOT IN (SELECT k FROM f) GROUP BY o_custkey
+""")
+def replay_refusals(spark, sf_dir):
+    """Each customer is a capture with its orders as facts. A quarter resolves to another unit (and half of
+    those to two), a quarter to none; dated aliases do not count."""
+    k = F.col("c_custkey")
+    own = table(spark, sf_dir, "customer")
+    unit = F.concat(F.lit("j"), k)
+    captures = own.select(
+        F.concat(F.lit("s"), k).alias("source_id"), unit.alias("jurisdiction_id"),
+        k.cast("string").alias("body"),
+        F.sha2((k + F.when(k % 7 == 0, 1).otherwise(0)).cast("string"), 256).alias("expected_sha256"),
+        F.when(k % 5 == 0, "election-night").when(k % 5 == 1, "certified").otherwise("other")
+        .alias("regime_kind"),
+        F.when(k % 10 < 5, "final").otherwise("election_night").alias("capability_type"))
+    row = lambda to, since: F.struct(to.alias("canonical_id"),
+                                     F.lit(since).cast("date").alias("effective_from"))
+    rows = F.array_compact(F.array(
+        F.when(k % 4 < 2, row(unit, None)), F.when(k % 4 == 2, row(F.lit("x"), None)),
+        F.when(k % 8 == 6, row(unit, None)), row(F.lit("y"), "2020-01-01")))
+    aliases = own.select(unit.alias("_u"), F.inline(rows)).select(
+        F.lit("jurisdiction").alias("object_type"), F.lit("Replay ").alias("alias_namespace"),
+        F.upper("_u").alias("alias_value"), "canonical_id", F.lit("verified").alias("status"),
+        "effective_from", F.lit(None).cast("date").alias("effective_to"))
+    blank = F.lit(None).cast("string")
+    facts = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("s"), F.col("o_custkey")).alias("source_id"), F.lit("e").alias("election_id"),
+        F.lit("us:j").alias("jurisdiction_id"),
+        F.col("o_orderkey").cast("string").alias("reporting_unit_id"),
+        F.lit("r").alias("contest_name"), F.lit("c").alias("choice_name"), F.lit("total").alias("vote_mode"),
+        F.col("o_orderkey").alias("votes"), *[blank.alias(c) for c in (
+            "party", "raw_vote_mode", "source_order", "snapshot_sha256", "reporting_regime_id",
+            "reporting_unit_raw_name", "reporting_unit_source_native_id")])
+    out = S.replay(facts, captures, aliases=aliases)
+    found = out["altered"].unionByName(out["identity"]).unionByName(out["regime"])
+    none = F.lit(None).cast("long")
+    return found.withColumn("row_count", none).unionByName(out["digest"].select(
+        "source_id", F.lit("digest").alias("rule_id"), "row_count"))
+
+
 @query("execution_evidence", """
 WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS p, CASE WHEN o_orderpriority < '2' OR o_orderpriority LIKE '3%'
     THEN (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) ELSE 0 END AS n FROM orders)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.functions import classify as C
+from tallyweave.operators import identity as I
 from tallyweave.operators import observations as O
 from tallyweave.operators import quality as Q
 from tallyweave.operators.history import progress_findings
@@ -62,18 +63,35 @@ def capture_findings(facts: DataFrame, captures: DataFrame, body: str,
 
 
 def replay(facts: DataFrame, captures: DataFrame, progress: DataFrame | None = None,
-           columns: list[str] | None = None) -> dict[str, DataFrame]:
+           columns: list[str] | None = None, aliases: DataFrame | None = None,
+           namespace: str = "replay") -> dict[str, DataFrame]:
     """Checks and digests of one replay (P1): every result is a table, built lazily.
 
-    ``captures`` carries source_id, body and expected_sha256; facts of altered captures are left
-    out of the digest.
+    ``captures`` carries source_id, body and expected_sha256. With ``aliases`` its jurisdiction_id must
+    resolve to itself in the namespace (V24). Where it carries regime_kind and capability_type these must
+    agree (V15). Facts of captures that break one of these are left out of the digest.
     """
     same = F.sha2("body", 256) == F.col("expected_sha256")
-    altered = captures.filter(~F.coalesce(same, F.lit(False))).select(
-        "source_id", F.lit("snapshot_digest_mismatch").alias("rule_id"))
-    kept = facts.join(altered.select("source_id"), "source_id", "left_anti")
-    out = {
-        "altered": altered,
+    out = {"altered": captures.filter(~F.coalesce(same, F.lit(False))).select(
+        "source_id", F.lit("snapshot_digest_mismatch").alias("rule_id"))}
+    if aliases is not None:
+        probes = captures.select(
+            "source_id", "jurisdiction_id", F.lit("jurisdiction").alias("object_type"),
+            F.lit(namespace).alias("alias_namespace"), F.col("jurisdiction_id").alias("alias_value"))
+        resolved = I.resolve_undated(probes, aliases)
+        own = F.col("canonical_id")
+        out["identity"] = Q.violations(resolved, ["source_id"], {
+            "identity_unresolved": own.isNull(),
+            "identity_not_self": ~own.eqNullSafe(F.col("jurisdiction_id")) & own.isNotNull()})
+    if {"regime_kind", "capability_type"} <= set(captures.columns):
+        rules = {k: v for k, v in Q.regime_rules().items() if k != "capability_not_positive"}
+        out["regime"] = Q.violations(captures, ["source_id"], rules)
+    refused = out["altered"].select("source_id")
+    for name in ("identity", "regime"):
+        if name in out:
+            refused = refused.unionByName(out[name].select("source_id"))
+    kept = facts.join(refused.distinct(), "source_id", "left_anti")
+    out |= {
         "provenance": Q.violations(kept, ["source_id", "reporting_unit_id"], Q.topology_rules()),
         "double_counts": O.double_count_violations(kept),
         "digest": O.table_digest(kept, columns or DIGEST_COLUMNS, scope=["source_id"]),
