@@ -282,6 +282,7 @@ def anchors(pages: DataFrame, page_url: str = "url", html: str = "html") -> Data
     return U.safe_urls(rows, "href", "link", page_url)
 
 
+# What a result link says.
 RESULT_TERMS = (
     r"(?i)\b(election results?|unofficial results?|official results?|precinct results?|"
     r"election night|live results?|enr|statement of votes cast|sovc?|cumulative results?|"
