@@ -84,7 +84,7 @@ def committed(spark: SparkSession, folder: str) -> DataFrame | None:
     if not fs.exists(path(folder)):
         return None
     names = sorted(s.getPath().getName() for s in fs.listStatus(path(folder)))
-    chosen = ([spark.read.text(f"{folder}/current").first()[0]] if "current" in names
+    chosen = ([row_files(spark, folder).split("/")[-2]] if "current" in names
               else [n for n in names if n.startswith("rows=")])
     if not chosen:
         return None
@@ -95,6 +95,15 @@ def committed(spark: SparkSession, folder: str) -> DataFrame | None:
     return reduce(DataFrame.unionByName, rows)
 
 
+def row_files(spark: SparkSession, folder: str) -> str:
+    """Where the row files of a folder lie: those of its last replacement, or the folder itself if
+    nothing was committed to it."""
+    path, fs = _files(spark, folder)
+    if not fs.exists(path(f"{folder}/current")):
+        return folder
+    return f"{folder}/{spark.read.text(f'{folder}/current').first()[0]}/part-*"
+
+
 def altered(spark: SparkSession, folder: str) -> DataFrame:
     """Batches of a folder whose rows no longer give the digest they are named by."""
     path, fs = _files(spark, folder)

@@ -12,7 +12,7 @@ from tallyweave import schemas
 from tallyweave.functions.ids import alias_token
 from tallyweave.functions.values import present
 from tallyweave.operators import observations as O
-from tallyweave.sources.commit import add_rows, replace_rows
+from tallyweave.sources.commit import add_rows, replace_rows, row_files
 
 # Authority models whose units are counties.
 COUNTY_MODELS = ["county", "county+state", "county+independent-city",
@@ -33,9 +33,11 @@ def _typed(name: str, kind: T.DataType) -> Column:
 def read_registry(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header to typed rows (S15): blanks are null, yes/no become booleans.
 
-    Columns the file lacks are null; a byte-order mark before the header is removed.
+    A folder that ``write_registry`` wrote gives the rows of its last write. Columns the file lacks are
+    null; a byte-order mark before the header is removed.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
+    raw = spark.read.csv(row_files(spark, path), header=True, inferSchema=False, multiLine=True,
+                         escape='"')
     names = {re.sub("^﻿", "", c).strip(): c for c in raw.columns}
     raw = raw.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()])
     return raw.select(*[
