@@ -14,9 +14,11 @@ has ended before that position the next record of the ranks before it. A sample
 the last 16 characters put out. Likeness of two fingerprints is the share of equal samples, less what
 chance gives. Texts without a character have the fingerprint of zeros; equal texts have equal ones.
 
-Near copies are found by banding: samples are cut into ``BANDS`` bands, texts that agree in a band
-meet in a bucket, each is verified against the bucket's first one by likeness, and links are closed to
-classes. Equal fingerprints are one node.
+Near copies are found by banding: samples are cut into one band more than samples may differ at the
+least likeness, so that two fingerprints as alike as that agree in a band and meet in a bucket. Each is
+verified against the bucket's first one and links are closed to classes; those that are then not in the
+class of their bucket's first one are verified against all others of the bucket, in pairs of blocks, which
+joins more classes. Equal fingerprints are one node.
 """
 
 from __future__ import annotations
@@ -38,8 +40,9 @@ SEGMENT = 8192
 #: Two steps a character, and eight standard deviations of the steps that many characters take.
 STEPS = 2 * SEGMENT + 1024
 SAMPLES = 128
-BANDS = 16
 LIKENESS = 0.8
+#: Members of a bucket that are compared at once with as many others of it.
+BLOCK = 1024
 #: Characters of texts walked at a time; a longer text is walked alone.
 WALKED = 3_000_000
 #: After so many steps the walks that have ended are set aside.
@@ -248,25 +251,122 @@ def agreement(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), (same / SAMPLES - 1 / 256) / (1 - 1 / 256))
 
 
+def least_equal(least: float) -> int:
+    """The number of equal samples from which on two fingerprints have a likeness of ``least``."""
+    if not 0 < least <= 1:
+        raise ValueError("the least likeness must be above 0 and at most 1")
+    return next(k for k in range(SAMPLES + 1) if (k / SAMPLES - 1 / 256) / (1 - 1 / 256) >= least)
+
+
+def _other_links(met: DataFrame, rooted: DataFrame, nodes: DataFrame, equal: int) -> DataFrame:
+    """Links (a, b) between classes: members of a bucket that are not in the class of its first one
+    are compared with all of it. ``rooted`` has the class (root) of nodes that are not alone."""
+    def root(n: str) -> DataFrame:
+        return rooted.select(F.col("node").alias(n), F.col("root").alias(f"_{n}"))
+
+    seats = stored(met.where(F.col("members") > 2).join(root("node"), "node", "left")
+                   .join(root("head"), "head", "left")
+                   .select("bucket", "node", "members", F.coalesce("_node", "node").alias("root"),
+                           (F.coalesce("_node", "node") != F.coalesce("_head", "head")).alias("asks")))
+    many = seats.where("asks").groupBy("bucket").agg(F.count(F.lit(1)).alias("loose"))
+
+    def block(n: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.ceil(F.col(n) / BLOCK)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / BLOCK).cast("int") - 1))
+
+    opened = seats.join(many, "bucket")
+    asked = opened.where("asks").select("bucket", "node", "root", block("loose").alias("i"),
+                                        every("members").alias("j"), "asks")
+    others = opened.select("bucket", "node", "root", every("loose").alias("i"),
+                           block("members").alias("j"), F.lit(False).alias("asks"))
+    spread = (asked.unionByName(others).join(nodes.select("node", "fingerprint"), "node")
+              .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
+    id_type = dict(nodes.dtypes)["node"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for keys, roots, asks, prints in _runs(batches):
+            cuts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            found = [np.empty((0, 2), roots.dtype)]
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                own, other = a + np.flatnonzero(asks[a:b]), a + np.flatnonzero(~asks[a:b])
+                same = np.zeros((len(own), len(other)), np.uint8)
+                for k in range(SAMPLES):
+                    same += prints[own, k][:, None] == prints[other, k][None, :]
+                like = (same >= equal) & (roots[own][:, None] != roots[other][None, :])
+                found.append(_stars(roots, own, other, like))
+            edges = np.concatenate(found)
+            yield pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
+
+    return spread.mapInPandas(compare, f"a {id_type}, b {id_type}").distinct()
+
+
+def _stars(roots: np.ndarray, own: np.ndarray, other: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """(class, least class it is joined to) of the classes that are joined by like pairs."""
+    x, y = np.nonzero(like)
+    names, at = np.unique(np.concatenate([roots[own[x]], roots[other[y]]]), return_inverse=True)
+    x, y = at[:len(x)], at[len(x):]
+    least = np.arange(len(names))
+    while True:
+        best = least.copy()
+        np.minimum.at(best, x, least[y])
+        np.minimum.at(best, y, best[x])
+        if (best == least).all():
+            break
+        least = best
+    joined = least != np.arange(len(names))
+    return np.stack([names[joined], names[least[joined]]], axis=1)
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(keys, roots, asks, prints) of whole runs of rows with equal (bucket, i, j), some at a time."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch[["bucket", "i", "j"]].to_numpy(np.int64)
+        prints = np.frombuffer(b"".join(batch["fingerprint"]), np.uint8).reshape(-1, SAMPLES)
+        rows = (keys, batch["root"].to_numpy(), batch["asks"].to_numpy(bool), prints)
+        other = np.flatnonzero(np.any(keys != keys[-1], axis=1))
+        cut = int(other[-1]) + 1 if len(other) else 0  # the last run may go on
+        if not cut and held and (held[-1][0][-1] != keys[0]).any():
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held = []
+        if cut:
+            held.append(tuple(c[:cut] for c in rows))
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held = []
+        held.append(tuple(c[cut:] for c in rows))
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
 def near_copies(found: DataFrame, least: float = LIKENESS) -> DataFrame:
     """(fingerprint, class_id) of the fingerprints that are not alone in their class; class_id is the
-    least doc_id of the class."""
+    least doc_id of the class. Fingerprints of a likeness of ``least`` or more are in one class."""
     nodes = stored(found.where(F.col("doc_id").isNotNull()).groupBy("fingerprint").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")))
-    width = SAMPLES // BANDS
+    equal = least_equal(least)
+    many = SAMPLES - equal + 1
+    edges = [k * SAMPLES // many for k in range(many + 1)]
     bands = nodes.select("node", F.explode(F.array(*[
-        F.xxhash64(F.lit(k), F.substring("fingerprint", k * width + 1, width))
-        for k in range(BANDS)])).alias("bucket"))
-    heads = (bands.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("tail"))
-             .where(F.col("head") < F.col("tail")).select("bucket", "head"))
-    pairs = stored(bands.join(heads, "bucket").where(F.col("node") != F.col("head"))
-                   .select("node", "head").distinct())
+        F.xxhash64(F.lit(k), F.substring("fingerprint", a + 1, b - a))
+        for k, (a, b) in enumerate(zip(edges, edges[1:]))])).alias("bucket"))
+    heads = bands.groupBy("bucket").agg(
+        F.min("node").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = stored(bands.join(heads, "bucket"))
+    pairs = stored(met.where(F.col("node") != F.col("head")).select("node", "head").distinct())
     own, first = (nodes.select(F.col("node").alias(n), F.col("fingerprint").alias(f"_{n}"))
                   for n in ("node", "head"))
     links = (pairs.join(own, "node").join(first, "head")
              .where(agreement(F.col("_node"), F.col("_head")) >= least)
              .select(F.col("node").alias("a"), F.col("head").alias("b")))
-    classes = components(links)
+    rooted = stored(components(links))
+    joined = components(_other_links(met, rooted, nodes, equal))
+    stars = rooted.unionByName(joined.join(rooted.select("node"), "node", "left_anti"))
+    classes = stars.join(joined.select(F.col("node").alias("root"), F.col("root").alias("_root")),
+                         "root", "left").select("node", F.coalesce("_root", "root").alias("root"))
     return nodes.join(classes, "node", "left").where(
         F.col("root").isNotNull() | (F.col("rows") > 1)).select(
         "fingerprint", F.coalesce("root", "node").alias("class_id"))
