@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from tallyweave.functions import urls as U
+from tallyweave.operators import links as L
 from tallyweave.sources import results as R
 
 
@@ -16,3 +18,26 @@ def test_nested_xml_parses_each_unit_once(spark):
     assert plan.count("from_xml(") == 1
     rows = out.select("reporting_unit_name", "contest_name", "choice_name", "votes").collect()
     assert sorted(map(tuple, rows)) == [("k0", "Race", "A", 5), ("k1", "Race", "A", 6)]
+
+
+def test_link_targets_read_each_page_once(spark):
+    html = F.concat(F.lit("<a href='/a'>x</a><script src='/s.js'>fetch('/f'); y = \"https://o.org/"),
+                    F.col("id"), F.lit("\"</script>"))
+    pages = spark.range(2).select("id", F.lit("https://e.org/d/p").alias("url"), html.alias("html"))
+    out = L.extract_targets(pages)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
+    rows = out.filter("id = 1").select("kind", "raw_target", "resolution_base").collect()
+    assert sorted((r.kind, r.raw_target) for r in rows) == [
+        ("embedded", "/f"), ("embedded", "https://o.org/1"), ("link", "/a"),
+        ("response", "https://e.org/d/p"), ("script", "/s.js")]
+    assert {r.resolution_base for r in rows} == {"https://e.org/d/p"}
+
+
+def test_uri_parts_stop_at_their_delimiters(spark):
+    texts = ["http://u@h:1/a/b?q=1?2#f?g#h", "//h?x", "a:b/c#", "/p//q?#z", "x//y", "1a://b", "", "#?a",
+             "http:/x", "h\nt://a\nb/c\nd?e\nf#g\nh"]
+    whole = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for part in range(1, 6):
+        assert not df.filter(U.uri_part(F.col("t"), part) != F.regexp_extract("t", whole, part)).count()
