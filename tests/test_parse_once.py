@@ -41,3 +41,14 @@ def test_uri_parts_stop_at_their_delimiters(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for part in range(1, 6):
         assert not df.filter(U.uri_part(F.col("t"), part) != F.regexp_extract("t", whole, part)).count()
+
+
+def test_statewide_tables_parse_pages_before_their_four_results(spark):
+    cells = lambda *xs: "<tr>" + "".join(f"<td>{x}</td>" for x in xs) + "</tr>"
+    page = "<table>" + cells(*R.STATEWIDE_HEADER) + cells("A", "DEM", 1, 2, 3, 4, 10, "5%") + cells(
+        "Totals", "", 1, 2, 3, 5, 11, "100%") + "</table>"
+    good, bad = R.statewide_tables(spark.createDataFrame([(1, page)], "k int, body string"), ["k"], "body")
+    for out in (good, bad):
+        assert "regexp_extract_all(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.candidate, r.total) for r in good.collect()] == [("A", 10)]
+    assert [r.rule_id for r in bad.collect()] == ["candidate_sums_differ"]
