@@ -3,6 +3,7 @@
 import base64
 import collections
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -161,6 +162,24 @@ def test_part_search_equals_scoring_all(step, monkeypatch):
             assert np.allclose(asked.score[q], score[q][want])
 
 
+def test_long_queries_hold_a_bounded_matrix():
+    rng = np.random.default_rng(7)
+    terms, rows, asked = 600, 20_000, search.Queries(50.0, 10)
+    weight = rng.random(terms) + 0.1
+    asked.add(list(range(10)), [list(map(str, range(terms)))] * 10, [weight] * 10)
+    asked.ready()
+    row, term = rng.integers(0, rows, 500_000), rng.integers(0, terms, 500_000)
+    part = search.Part(row, term, np.bincount(row, minlength=rows), asked.weight, 50.0,
+                       np.arange(rows), np.zeros(rows, bool), asked.grid)
+    tracemalloc.start()
+    part.search(asked)
+    assert tracemalloc.get_traced_memory()[1] < 70_000_000
+    tracemalloc.stop()
+    score = np.bincount(part.row, part.impact, rows)
+    want = np.lexsort((np.arange(rows), -score))[:10]
+    assert asked.doc[9].tolist() == want.tolist() and (asked.score[9] == score[want]).all()
+
+
 def test_html_keeps_the_article_only():
     page = ('<html><head><title>t</title></head><body><nav><a href=1>Home</a></nav>'
             '<div id="cookie-notice">We use cookies</div><div class="post-content"><h1>Head</h1>'
