@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators import observations as O
+from tallyweave.session import write_once
 from tallyweave.sources import intake as I
 from tallyweave.sources import results as R
 
@@ -15,7 +16,7 @@ def district_captures(captures: DataFrame, body: str, key: str) -> tuple[DataFra
     rows = I.csv_rows(captures, body, {key: F.col(key)})
     names = [*R.DISTRICT_KEY, "County Name", *R.DISTRICTS]
     raw = rows.select(key, *[I._value(n.lower()).alias(n) for n in names])
-    return R.district_csv(raw, [key])
+    return R.district_csv(write_once(raw), [key])  # files are parsed once
 
 
 def payload_crosscheck(tables: DataFrame, districts: DataFrame, key: str, contest: str,

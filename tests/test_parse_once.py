@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions import urls as U
 from tallyweave.operators import links as L
 from tallyweave.sources import results as R
+from tallyweave.sources.crosscheck import district_captures
 
 
 def test_nested_xml_parses_each_unit_once(spark):
@@ -52,3 +53,13 @@ def test_statewide_tables_parse_pages_before_their_four_results(spark):
         assert "regexp_extract_all(" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.candidate, r.total) for r in good.collect()] == [("A", 10)]
     assert [r.rule_id for r in bad.collect()] == ["candidate_sums_differ"]
+
+
+def test_district_files_are_parsed_before_their_results(spark):
+    head = ",".join([*R.DISTRICT_KEY, "County Name", *R.DISTRICTS])
+    body = head + "\n00,Gov,,A,DEM,State,1,2,3,4,5,6,7,8\n"
+    files = spark.createDataFrame([(1, body.encode())], "k int, body binary")
+    rows, bad = district_captures(files, "body", "k")
+    plans = rows.unionByName(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plans and "LogicalRDD" not in plans
+    assert [(r.candidate, r.district_sum) for r in rows.collect()] == [("A", 36)] and not bad.count()
