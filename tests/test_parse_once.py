@@ -63,3 +63,24 @@ def test_district_files_are_parsed_before_their_results(spark):
     plans = rows.unionByName(rows)._jdf.queryExecution().optimizedPlan().toString()
     assert "LocalRelation" not in plans and "LogicalRDD" not in plans
     assert [(r.candidate, r.district_sum) for r in rows.collect()] == [("A", 36)] and not bad.count()
+
+
+def test_directory_pages_are_parsed_before_their_texts_are_matched(spark):
+    page = spark.createDataFrame([("https://s.gov/dir", "SS", "<a href='/c'>York County</a>")],
+                                 "url string, state string, html string")
+    units = spark.createDataFrame([("u0", "SS", "York County", "county")],
+                                  "jurisdiction_id string, state string, canonical_name string,"
+                                  "jurisdiction_level string")
+    out = L.directory_links(page, units)
+    assert "regexp_extract_all(html" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.url, r.associated_unit_ids) for r in out.collect()] == [("https://s.gov/c", ["u0"])]
+
+
+def test_parts_of_an_expression_stand_in_it_once(spark):
+    from tallyweave.functions.html import unescape
+
+    df = spark.createDataFrame([("&#65;&amp;&ampx;&x; &#X42",)], "t string")
+    out = U.normalize_urls(df.select("t", unescape(F.lower("t")).alias("low")), "t", "u")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(t") == 1 and plan.count("conv(") <= 6
+    assert out.first().low == "A&&x;&x; B"
