@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyweave.plans.history import _CAPTURES
 from tallyweave.plans.registry import query
 from tallyweave.plans.views import O_SQL, observations, table
-from tallyweave.session import checkpoint_dir
+from tallyweave.session import checkpoint_dir, write_once
 from tallyweave.streaming import feeds, pages
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,6 +26,7 @@ def _run_rounds(df, root, order, rounds, writer_of, batch_files=1000):
     Every run goes on from the checkpoint of the last, so state and tables cross batches. Only
     the range limits reach the driver; the files of a range are written by all tasks.
     """
+    df = write_once(df)
     cuts = [n / rounds for n in range(1, rounds)]
     limits = df.agg(F.percentile_approx(order, cuts)).first()[0] or []
     number = F.lit(0)
