@@ -91,3 +91,20 @@ def test_artifact_variants_share_one_table_of_anchors(spark):
 
     out = artifact_links(spark, "/root/testdata/sf0.001")
     assert "regexp_extract_all(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_script_pages_are_read_once_for_counts_and_completion(spark):
+    body = F.concat(
+        F.lit('<script type="application/json">{"a":['), *[F.lit(x) for x in (
+            '{"precinctsReporting":"1,002","totalPrecincts":9,"Complete":"yes"},',
+            '{"isC\\u006fmplete":false},{"reportingcomplete":"1","precinct":"P"},')],
+        F.lit('{"precinct":"Q","votes":'), F.col("id"), F.lit("},{}]}</script>"))
+    out = R.script_progress(spark.range(1).select(body.alias("body")), "body",
+                            R.Context.of("2026", "mi-x", "src", "2026-11-03 00:00:00"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    rows = out.select("kind", "reporting_count", "expected_count", "complete",
+                      "reporting_unit_name").collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted([
+        ("source_counts", 1002, 9, None, None), ("source_complete", None, None, True, None),
+        ("source_complete", None, None, False, None), ("source_complete", None, None, True, "P")],
+        key=repr)
