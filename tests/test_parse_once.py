@@ -108,3 +108,32 @@ def test_script_pages_are_read_once_for_counts_and_completion(spark):
         ("source_counts", 1002, 9, None, None), ("source_complete", None, None, True, None),
         ("source_complete", None, None, False, None), ("source_complete", None, None, True, "P")],
         key=repr)
+
+
+def test_directory_links_shuffle_no_page_text_by_its_columns(spark):
+    from pyspark.sql.types import StringType
+
+    page = spark.createDataFrame([(f"https://s.gov/{i}", "SS", "<li>York County <a href='/c'>Go</a></li>")
+                                  for i in range(3)], "url string, state string, html string")
+    units = spark.createDataFrame([("u0", "SS", "York County", "county")],
+                                  "jurisdiction_id string, state string, canonical_name string,"
+                                  "jurisdiction_level string")
+    out = L.directory_links(page, units)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1  # the links are grouped once, at the end
+    assert out.schema["snapshot_sha256"].dataType == StringType()
+    assert {(r.match_basis, tuple(r.associated_unit_ids), len(r.snapshot_sha256)) for r in out.collect()} == {
+        ("directory_row", ("u0",), 64)}
+
+
+def test_plain_links_resolve_as_parsed_ones(spark):
+    links = [("docs/1.pdf", "https://a.gov/x/y?q", "https://a.gov/x/docs/1.pdf"),
+             ("docs/1.pdf", "https://a.gov/./y", "https://a.gov/docs/1.pdf"),
+             ("/a.b", "https://a.gov", "https://a.gov/a.b"), ("b", "https://a.gov/c//d/", "https://a.gov/c/d/b"),
+             ("https://x.local/a", "https://a.gov/", ""), ("https://a.local.org/a", None, "https://a.local.org/a"),
+             ("/a//b", "https://a.gov/", "https://a.gov/a//b"), ("a:b", "https://a.gov/", ""),
+             ("/x", "https://u@a.gov/", ""), ("/x\n", "https://a.gov/", "https://a.gov/x")]
+    df = spark.createDataFrame(links, "t string, b string, want string")
+    out = U.normalize_urls(df, "t", "u", "b")
+    assert [(r.t, r.u) for r in out.collect()] == [(t, want) for t, _, want in links]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
